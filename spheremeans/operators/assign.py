@@ -75,10 +75,12 @@ def assign(
         labelled = _unrolled(placed, kept, pairs)
     else:
         labelled = _vectorised(placed, kept, pairs)
-    extra = [F.col("_label").alias(label)]
+    found = [F.col("_label").alias(label)]
     if distance:
-        extra.append(F.when(F.col("_label").isNotNull(), F.col("_best")).alias(distance))
-    return labelled.select(*kept, *extra)
+        found.append(F.when(F.col("_label").isNotNull(), F.col("_best")).alias(distance))
+    # A later filter or join on the label would be pushed below the projections,
+    # repeating all k distances in each branch of the predicate. It stops here.
+    return labelled.select(*kept, F.inline(F.array(F.struct(*found))))
 
 
 def _unrolled(placed: DataFrame, kept: list[str], pairs: Centroids) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spheremeans.config import new_path
-from spheremeans.functions.geo import METRICS, distance_km
+from spheremeans.functions.geo import METRICS, distance_km, is_located
 from spheremeans.operators.assign import Centroids, assign, centroid_list, old_position
 from spheremeans.operators.centroids import cluster_means, sample_seeds
 
@@ -57,15 +57,15 @@ class Model:
 
     def assignments(self) -> DataFrame:
         """The points with the labels of the last pass, unlocated points left out."""
-        return _labelled_only(assign(self.points, self.labelling_centroids))
+        return assign(_located(self.points), self.labelling_centroids)
 
     def predict(self, points: DataFrame | None = None) -> DataFrame:
         """Points labelled by the final centroids."""
-        return _labelled_only(assign(self.points if points is None else points, self.centroids))
+        return assign(_located(self.points if points is None else points), self.centroids)
 
 
-def _labelled_only(assigned: DataFrame) -> DataFrame:
-    return assigned.filter(F.col("cluster_id").isNotNull())
+def _located(points: DataFrame) -> DataFrame:
+    return points.filter(is_located("latitude", "longitude"))
 
 
 def step(
