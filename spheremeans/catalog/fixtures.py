@@ -74,7 +74,7 @@ LINES: dict[str, str] = {
         when 2 then concat(' ', {_SPOT}, ' ', fmt6(longitude))
         else concat({_SPOT}, '  ', fmt6(longitude), '   http://x/', {_ID}) end""",
     "device": f"""concat('2014-03-15:10:', {_ID}, ',',
-        case when point_id % 50 = 4 then 'Sorrento' else concat('Maker', cast(point_id % 7 as string), ' M', cast(point_id % 11 as string)) end,
+        case when point_id % 50 = 4 then 'Solo' else concat('Maker', cast(point_id % 7 as string), ' M', cast(point_id % 11 as string)) end,
         '|dev-', {_ID}, '/1,2|3/4,5|6/7,8|9/',
         case point_id % 50 when 0 then '0' when 1 then '0.5' when 2 then '-0.9' when 3 then 'bad' else {_SPOT} end,
         ',', fmt6(longitude))""",

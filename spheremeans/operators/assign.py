@@ -13,7 +13,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spheremeans.functions.geo import EARTH_RADIUS_KM, cartesian
@@ -66,33 +66,54 @@ def assign(
     A point with a null, NaN or infinite coordinate gets a null label.
     """
     pairs = centroid_list(centroids)
-    kept = points.columns
+    return label_placed(place(points), points.columns, pairs, label, distance, unroll_limit)
+
+
+def place(points: DataFrame) -> DataFrame:
+    """Add the Cartesian position ``_x, _y, _z``, NaN where a coordinate is missing.
+
+    Non-null positions spare the generated code a null check per operation.
+    """
     nan = F.lit(float("nan"))
-    # Non-null inputs spare the generated code a null check per operation.
     x, y, z = cartesian(F.coalesce("latitude", nan), F.coalesce("longitude", nan))
-    placed = points.select("*", x.alias("_x"), y.alias("_y"), z.alias("_z"))
+    return points.select("*", x.alias("_x"), y.alias("_y"), z.alias("_z"))
+
+
+def label_placed(
+    placed: DataFrame,
+    kept: list[str],
+    pairs: Centroids,
+    label: str = "cluster_id",
+    distance: str | None = None,
+    unroll_limit: int = UNROLL_LIMIT,
+) -> DataFrame:
+    """Label points that already have their position, keeping only columns ``kept``.
+
+    A filter or join on the label would be pushed below the projections, and
+    repeat all k distances in each branch of the predicate. The generator at the
+    end stops it there.
+    """
+    kept = [f"`{name}`" for name in kept]
     if len(pairs) <= unroll_limit:
-        labelled = _unrolled(placed, kept, pairs)
+        wide, nearest = _unrolled(placed, kept, pairs), _first_at_best(len(pairs))
     else:
-        labelled = _vectorised(placed, kept, pairs)
-    found = [F.col("_label").alias(label)]
+        wide, nearest = _vectorised(placed, kept, pairs), "_found.label"
+    found = f"'{label}', {nearest}"
     if distance:
-        found.append(F.when(F.col("_label").isNotNull(), F.col("_best")).alias(distance))
-    # A later filter or join on the label would be pushed below the projections,
-    # repeating all k distances in each branch of the predicate. It stops here.
-    return labelled.select(*kept, F.inline(F.array(F.struct(*found))))
+        found += f", '{distance}', nanvl(_best, CAST(NULL AS DOUBLE))"
+    return wide.selectExpr(*kept, f"inline(array(named_struct({found})))")
 
 
 def _unrolled(placed: DataFrame, kept: list[str], pairs: Centroids) -> DataFrame:
-    distances = [
-        F.expr(_chord_sql(lat, lon)).alias(f"_d{i}") for i, (lat, lon) in enumerate(pairs)
-    ]
-    wide = placed.select(*kept, *distances)
+    distances = [f"{_chord_sql(lat, lon)} AS _d{i}" for i, (lat, lon) in enumerate(pairs)]
     names = [f"_d{i}" for i in range(len(pairs))]
-    best = F.least(*names) if len(names) > 1 else F.col(names[0])
-    branches = " ".join(f"WHEN {name} = _best THEN {i}" for i, name in enumerate(names))
-    label = F.expr(f"CASE WHEN isnan(_best) THEN NULL {branches} END")
-    return wide.select("*", best.alias("_best")).select(*kept, "_best", label.alias("_label"))
+    best = f"least({', '.join(names)})" if len(names) > 1 else names[0]
+    return placed.selectExpr(*kept, *distances).selectExpr("*", f"{best} AS _best")
+
+
+def _first_at_best(k: int) -> str:
+    branches = " ".join(f"WHEN _d{i} = _best THEN {i}" for i in range(k))
+    return f"CASE WHEN isnan(_best) THEN NULL {branches} END"
 
 
 def _chord_sql(lat: float, lon: float) -> str:
@@ -109,43 +130,67 @@ def _chord_sql(lat: float, lon: float) -> str:
 
 def _vectorised(placed: DataFrame, kept: list[str], pairs: Centroids) -> DataFrame:
     nearest = _nearest_udf(np.asarray(pairs, dtype=np.float64))
-    found = placed.select(*kept, nearest("_x", "_y", "_z").alias("_found"))
-    return found.select(
-        *kept, F.col("_found.best").alias("_best"), F.col("_found.label").alias("_label")
-    )
+    found = placed.select("*", nearest("_x", "_y", "_z").alias("_found"))
+    return found.selectExpr(*kept, "_found", "_found.best AS _best")
+
+
+# The functions below are sent to workers that may not have this package, so they
+# refer to nothing in it but their own arguments.
 
 
 def _nearest_udf(pairs: np.ndarray):
-    phi, lam = np.radians(pairs[:, 0]), np.radians(pairs[:, 1])
-    cx = EARTH_RADIUS_KM * np.cos(phi) * np.cos(lam)
-    cy = EARTH_RADIUS_KM * np.cos(phi) * np.sin(lam)
-    cz = EARTH_RADIUS_KM * np.sin(phi)
-    rows_at_once = max(1, _BLOCK_CELLS // len(pairs))
+    blocks = _distance_blocks(pairs)
 
     @F.pandas_udf("label int, best double")
     def nearest(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for x, y, z in batches:
-            px, py, pz = x.to_numpy(), y.to_numpy(), z.to_numpy()
-            label = np.zeros(len(px), dtype=np.int64)
-            best = np.empty(len(px))
-            for start in range(0, len(px), rows_at_once):
-                cut = slice(start, start + rows_at_once)
-                d = np.square(px[cut, None] - cx)
-                d += np.square(py[cut, None] - cy)
-                d += np.square(pz[cut, None] - cz)
-                np.sqrt(d, out=d)
+        for axes in batches:
+            label = np.zeros(len(axes[0]), dtype=np.int64)
+            best = np.empty(len(axes[0]))
+            for cut, d in blocks(*axes):
                 label[cut] = d.argmin(axis=1)
                 best[cut] = d[np.arange(len(d)), label[cut]]
-            labels = pd.Series(label, dtype="Int32").mask(np.isnan(best))
+            labels = pd.Series(label).astype("Int32").mask(np.isnan(best))
             yield pd.DataFrame({"label": labels, "best": best})
 
     return nearest
 
 
-def old_position(pairs: Centroids, label: Column) -> tuple[Column, Column]:
-    """Coordinates of the labelled centroid, looked up in constant arrays."""
-    looked_up = []
-    for axis in (0, 1):
-        values = ", ".join(f"{pair[axis]!r}D" for pair in pairs)
-        looked_up.append(F.get(F.expr(f"array({values})"), label))
-    return looked_up[0], looked_up[1]
+def nearest_two(pairs: np.ndarray, ids: np.ndarray):
+    """Id of the nearest centroid, its distance, and the distance of the runner-up."""
+    blocks = _distance_blocks(pairs)
+
+    @F.pandas_udf("label int, best double, second double")
+    def nearest(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for axes in batches:
+            label = np.zeros(len(axes[0]), dtype=np.int64)
+            best, second = np.empty(len(axes[0])), np.empty(len(axes[0]))
+            for cut, d in blocks(*axes):
+                rows = np.arange(len(d))
+                label[cut] = d.argmin(axis=1)
+                best[cut] = d[rows, label[cut]]
+                d[rows, label[cut]] = np.inf
+                second[cut] = d.min(axis=1)
+            labels = pd.Series(ids[label]).astype("Int32").mask(np.isnan(best))
+            yield pd.DataFrame({"label": labels, "best": best, "second": second})
+
+    # Otherwise the optimiser runs it once per field taken from the result.
+    return nearest.asNondeterministic()
+
+
+def _distance_blocks(pairs: np.ndarray):
+    """Distances of all centroids for a few points at a time, to bound memory."""
+    phi, lam = np.radians(pairs[:, 0]), np.radians(pairs[:, 1])
+    positions = (np.cos(phi) * np.cos(lam), np.cos(phi) * np.sin(lam), np.sin(phi))
+    positions = [EARTH_RADIUS_KM * p for p in positions]
+    rows_at_once = max(1, _BLOCK_CELLS // len(pairs))
+
+    def blocks(*axes: pd.Series) -> Iterator[tuple[slice, np.ndarray]]:
+        points = [axis.to_numpy() for axis in axes]
+        for start in range(0, len(points[0]), rows_at_once):
+            cut = slice(start, start + rows_at_once)
+            squares = 0.0
+            for p, c in zip(points, positions, strict=True):
+                squares = squares + np.square(p[cut, None] - c)
+            yield cut, np.sqrt(squares)
+
+    return blocks

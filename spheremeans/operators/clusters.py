@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from spheremeans.operators.centroids import cluster_sizes
 
 DEFAULT_CHUNK_ROWS = 100_000
+PIECES_PER_CHUNK = 16
 
 
 def _bucket(key: Column, buckets: Column) -> Column:
@@ -36,9 +37,9 @@ def cluster_lists(
     """Parallel latitude and longitude lists per cluster and chunk.
 
     With a unique ``key`` points go to chunks by key and are listed in key order.
-    Without one, equal places are first counted together and a place with more
-    than ``chunk_rows`` copies is cut up, so copies cannot pile up in one chunk;
-    points are then listed by coordinates.
+    Without one, equal places are first counted together and a place with many
+    copies is cut up, so copies cannot pile up in one chunk; points are then
+    listed by coordinates.
     """
     if chunk_rows < 1:
         raise ValueError("chunk_rows must be at least 1")
@@ -54,6 +55,8 @@ def cluster_lists(
             F.sort_array(F.collect_list("item")).alias("items")
         )
     else:
+        # Copies travel in pieces well below a chunk, so that chunks come out even.
+        piece_rows = -(-chunk_rows // PIECES_PER_CHUNK)
         pieces = (
             assigned.groupBy("cluster_id", "latitude", "longitude")
             .agg(F.count(F.lit(1)).alias("copies"))
@@ -62,7 +65,7 @@ def cluster_lists(
                 "latitude",
                 "longitude",
                 "copies",
-                F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {chunk_rows}"))).alias(
+                F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {piece_rows}"))).alias(
                     "piece"
                 ),
             )
@@ -73,7 +76,7 @@ def cluster_lists(
                     "latitude",
                     "longitude",
                     F.least(
-                        F.lit(chunk_rows), F.col("copies") - F.col("piece") * chunk_rows
+                        F.lit(piece_rows), F.col("copies") - F.col("piece") * piece_rows
                     ).cast("int").alias("n"),
                 ).alias("item"),
             )

@@ -8,20 +8,28 @@ constants, so the plan never grows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from spheremeans.config import new_path
 from spheremeans.functions.geo import METRICS, distance_km, is_located
-from spheremeans.operators.assign import Centroids, assign, centroid_list, old_position
+from spheremeans.operators.assign import (
+    Centroids,
+    assign,
+    centroid_list,
+    label_placed,
+    place,
+)
 from spheremeans.operators.centroids import cluster_means, sample_seeds
+from spheremeans.plans import tiles
 
 # Fixed value: both jobs stop at a total movement of one kilometre.
 DEFAULT_TOLERANCE_KM = 1.0
 
+PLACE = ("latitude", "longitude")
 CENTROID_SCHEMA = "cluster_id int, latitude double, longitude double"
 HISTORY_SCHEMA = (
     "iteration int, cluster_id int, latitude double, longitude double, "
@@ -65,7 +73,7 @@ class Model:
 
 
 def _located(points: DataFrame) -> DataFrame:
-    return points.filter(is_located("latitude", "longitude"))
+    return points.filter(is_located(*PLACE))
 
 
 def step(
@@ -78,17 +86,39 @@ def step(
 
     Points without a place are counted under a null ``cluster_id``.
     """
-    pairs = centroid_list(centroids)
-    means = cluster_means(assign(points.select("latitude", "longitude"), pairs))
-    if float32_centroids:
-        means = means.withColumns(
-            {c: F.col(c).cast("float").cast("double") for c in ("latitude", "longitude")}
-        )
-    old_lat, old_lon = old_position(pairs, F.col("cluster_id"))
-    moved = distance_km(metric, old_lat, old_lon, "latitude", "longitude")
-    if float32_centroids:
+    build = _full_pass(points.select(*PLACE), metric, float32_centroids)
+    return build(centroid_list(centroids))
+
+
+def _full_pass(places: DataFrame, metric: str, float32: bool) -> Callable[[Centroids], DataFrame]:
+    """A pass over every point. What does not depend on the centroids is built once."""
+    placed = place(places)
+    finish = _finisher(metric, float32)
+
+    def build(pairs: Centroids) -> DataFrame:
+        return finish(cluster_means(label_placed(placed, list(PLACE), pairs)), pairs)
+
+    return build
+
+
+def _finisher(metric: str, float32: bool) -> Callable[[DataFrame, Centroids], DataFrame]:
+    """Adds each centroid's movement, looking up its old place in constant arrays."""
+    moved = distance_km(metric, "old_latitude", "old_longitude", *PLACE)
+    if float32:
         moved = moved.cast("float").cast("double")
-    return means.withColumn("displacement_km", moved)
+    columns = ["cluster_id", "n_points", *PLACE, moved.alias("displacement_km")]
+
+    def finish(means: DataFrame, pairs: Centroids) -> DataFrame:
+        mean = "CAST(CAST({0} AS FLOAT) AS DOUBLE) AS {0}" if float32 else "{0}"
+        looked_up = [
+            f"get(array({', '.join(f'{p[axis]!r}D' for p in pairs)}), cluster_id) AS old_{name}"
+            for axis, name in enumerate(PLACE)
+        ]
+        return means.selectExpr(
+            "cluster_id", "n_points", *[mean.format(c) for c in PLACE], *looked_up
+        ).select(*columns)
+
+    return finish
 
 
 def fit(
@@ -112,12 +142,15 @@ def fit(
 
     ``cache`` says what the passes read: ``"none"`` the source itself, best for
     columnar files; ``"memory"`` cached coordinates, spilling to disk;
-    ``"table"`` coordinates written once to the shared folder, best for large
-    text input, and kept for the caller to delete (``Model.table_path``).
+    ``"table"`` points written once to the shared folder, best for large text
+    input; ``"tiles"`` points written once by map tile, after a shuffle, so that
+    each pass only reads tiles on a cluster border, best when many passes over
+    large data are expected. Written tables are kept for the caller to delete
+    (``Model.table_path``).
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}, expected one of {sorted(METRICS)}")
-    if cache not in ("none", "memory", "table"):
+    if cache not in ("none", "memory", "table", "tiles"):
         raise ValueError(f"unknown cache {cache!r}")
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
@@ -128,6 +161,11 @@ def fit(
         table_path = new_path(spark, "points")
         points.write.parquet(table_path)
         points = spark.read.schema(points.schema).parquet(table_path)
+    elif cache == "tiles":
+        table_path = new_path(spark, "tiles")
+        tiles.write_tiles(points, table_path)
+        tiled = tiles.read_tiles(spark, table_path, points)
+        points = tiled.select(*points.columns)
 
     if init is not None:
         centroids = centroid_list(init)
@@ -138,28 +176,34 @@ def fit(
     else:
         centroids = sample_seeds(points, k, seed, key)
 
-    places = points.select("latitude", "longitude")
-    if cache == "memory":
-        places = places.persist(StorageLevel.MEMORY_AND_DISK)
+    if cache == "tiles":
+        reused = tiles.summarise(tiled)
+    else:
+        reused = points.select(*PLACE)
+    if cache in ("memory", "tiles"):
+        reused = reused.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _loop(
-            points, places, centroids, metric, tol_km, max_iter, float32_centroids, table_path
-        )
+        if cache == "tiles":
+            run = tiles.tiled_pass(tiled, reused, _finisher(metric, float32_centroids))
+        else:
+            build = _full_pass(reused, metric, float32_centroids)
+
+            def run(pairs: Centroids) -> list[Row]:
+                return build(pairs).collect()
+
+        outcome = _loop(run, centroids, tol_km, max_iter)
     finally:
-        if cache == "memory":
-            places.unpersist()
+        if cache in ("memory", "tiles"):
+            reused.unpersist()
+    return Model(spark=spark, points=points, table_path=table_path, **outcome)
 
 
 def _loop(
-    points: DataFrame,
-    places: DataFrame,
+    run: Callable[[Centroids], list[Row]],
     centroids: list[tuple[float, float]],
-    metric: str,
     tol_km: float,
     max_iter: int,
-    float32_centroids: bool,
-    table_path: str | None,
-) -> Model:
+) -> dict:
     records: list[tuple] = [
         (0, i, lat, lon, None, None) for i, (lat, lon) in enumerate(centroids)
     ]
@@ -167,8 +211,7 @@ def _loop(
     while moved > tol_km and iteration < max_iter:
         iteration += 1
         previous = centroids
-        rows = step(places, previous, metric, float32_centroids).collect()
-        found = {r["cluster_id"]: r for r in rows}
+        found = {r["cluster_id"]: r for r in run(previous)}
         n_unlocated = found[None]["n_points"] if None in found else 0
         centroids, moved = list(previous), 0.0
         for i, (lat, lon) in enumerate(previous):
@@ -179,14 +222,11 @@ def _loop(
             centroids[i] = (lat, lon)
             moved += km
             records.append((iteration, i, lat, lon, n, km))
-    return Model(
-        spark=points.sparkSession,
-        points=points,
-        centroids=centroids,
-        labelling_centroids=previous,
-        converged=moved <= tol_km,
-        iterations=iteration,
-        n_unlocated=n_unlocated,
-        records=records,
-        table_path=table_path,
-    )
+    return {
+        "centroids": centroids,
+        "labelling_centroids": previous,
+        "converged": moved <= tol_km,
+        "iterations": iteration,
+        "n_unlocated": n_unlocated,
+        "records": records,
+    }
