@@ -27,8 +27,12 @@ UNROLL_LIMIT = 16
 # Centroids are held by the driver and shipped with each stage, 24 bytes apiece.
 MAX_CENTROIDS = 1_000_000
 
-# Distances a Python worker holds at once.
-_BLOCK_CELLS = 1 << 20
+# Distances a Python worker holds at once; about what a processor cache does.
+_BLOCK_CELLS = 1 << 17
+
+# Dot products this near each other do not tell which centroid is nearer. Their
+# rounding error is a hundred times smaller.
+_CLOSE_KM2 = 1e-6
 
 
 def centroid_list(centroids: DataFrame | Centroids) -> list[tuple[float, float]]:
@@ -129,27 +133,58 @@ def _chord_sql(lat: float, lon: float) -> str:
 
 
 def _vectorised(placed: DataFrame, kept: list[str], pairs: Centroids) -> DataFrame:
-    nearest = _nearest_udf(np.asarray(pairs, dtype=np.float64))
+    nearest = _nearest_one(*distinct_places(pairs))
     found = placed.select("*", nearest("_x", "_y", "_z").alias("_found"))
     return found.selectExpr(*kept, "_found", "_found.best AS _best")
 
 
+def distinct_places(pairs: Centroids) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids without later copies of the same place, which never win, and their ids."""
+    first: dict[tuple[float, float], int] = {}
+    for i, pair in enumerate(pairs):
+        first.setdefault(tuple(pair), i)
+    return np.asarray(list(first), dtype=np.float64), np.asarray(list(first.values()))
+
+
 # The functions below are sent to workers that may not have this package, so they
 # refer to nothing in it but their own arguments.
 
 
-def _nearest_udf(pairs: np.ndarray):
-    blocks = _distance_blocks(pairs)
+def _nearest_one(pairs: np.ndarray, ids: np.ndarray):
+    """The largest dot product marks the nearest centroid, and costs one matrix product.
+
+    It is less exact than a distance, so rows whose two best products are about
+    equal are decided by their distances.
+    """
+    centres = _positions(pairs)
+    across = np.ascontiguousarray(centres.T)
+    rows_at_once = max(1, _BLOCK_CELLS // len(centres))
+    close_km2 = _CLOSE_KM2
 
     @F.pandas_udf("label int, best double")
     def nearest(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         for axes in batches:
-            label = np.zeros(len(axes[0]), dtype=np.int64)
-            best = np.empty(len(axes[0]))
-            for cut, d in blocks(*axes):
-                label[cut] = d.argmin(axis=1)
-                best[cut] = d[np.arange(len(d)), label[cut]]
-            labels = pd.Series(label).astype("Int32").mask(np.isnan(best))
+            points = np.column_stack([axis.to_numpy() for axis in axes])
+            label = np.zeros(len(points), dtype=np.int64)
+            best = np.empty(len(points))
+            for start in range(0, len(points), rows_at_once):
+                some = points[start : start + rows_at_once]
+                products = some @ across
+                first = products.argmax(axis=1)
+                top = products[np.arange(len(some)), first]
+                distance = np.sqrt(np.square(some - centres[first]).sum(axis=1))
+                rivals = (products >= (top - close_km2)[:, None]).sum(axis=1)
+                close = np.flatnonzero(rivals > 1)
+                if len(close):
+                    squares = 0.0
+                    for axis in range(3):
+                        squares = squares + np.square(some[close, axis, None] - centres[:, axis])
+                    exact = np.sqrt(squares)
+                    first[close] = exact.argmin(axis=1)
+                    distance[close] = exact.min(axis=1)
+                label[start : start + rows_at_once] = first
+                best[start : start + rows_at_once] = distance
+            labels = pd.Series(ids[label]).astype("Int32").mask(np.isnan(best))
             yield pd.DataFrame({"label": labels, "best": best})
 
     return nearest
@@ -157,14 +192,21 @@ def _nearest_udf(pairs: np.ndarray):
 
 def nearest_two(pairs: np.ndarray, ids: np.ndarray):
     """Id of the nearest centroid, its distance, and the distance of the runner-up."""
-    blocks = _distance_blocks(pairs)
+    centres = _positions(pairs)
+    rows_at_once = max(1, _BLOCK_CELLS // len(centres))
 
     @F.pandas_udf("label int, best double, second double")
     def nearest(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         for axes in batches:
-            label = np.zeros(len(axes[0]), dtype=np.int64)
-            best, second = np.empty(len(axes[0])), np.empty(len(axes[0]))
-            for cut, d in blocks(*axes):
+            points = np.column_stack([axis.to_numpy() for axis in axes])
+            label = np.zeros(len(points), dtype=np.int64)
+            best, second = np.empty(len(points)), np.empty(len(points))
+            for start in range(0, len(points), rows_at_once):
+                cut = slice(start, start + rows_at_once)
+                squares = 0.0
+                for axis in range(3):
+                    squares = squares + np.square(points[cut, axis, None] - centres[:, axis])
+                d = np.sqrt(squares)
                 rows = np.arange(len(d))
                 label[cut] = d.argmin(axis=1)
                 best[cut] = d[rows, label[cut]]
@@ -177,20 +219,7 @@ def nearest_two(pairs: np.ndarray, ids: np.ndarray):
     return nearest.asNondeterministic()
 
 
-def _distance_blocks(pairs: np.ndarray):
-    """Distances of all centroids for a few points at a time, to bound memory."""
+def _positions(pairs: np.ndarray) -> np.ndarray:
     phi, lam = np.radians(pairs[:, 0]), np.radians(pairs[:, 1])
-    positions = (np.cos(phi) * np.cos(lam), np.cos(phi) * np.sin(lam), np.sin(phi))
-    positions = [EARTH_RADIUS_KM * p for p in positions]
-    rows_at_once = max(1, _BLOCK_CELLS // len(pairs))
-
-    def blocks(*axes: pd.Series) -> Iterator[tuple[slice, np.ndarray]]:
-        points = [axis.to_numpy() for axis in axes]
-        for start in range(0, len(points[0]), rows_at_once):
-            cut = slice(start, start + rows_at_once)
-            squares = 0.0
-            for p, c in zip(points, positions, strict=True):
-                squares = squares + np.square(p[cut, None] - c)
-            yield cut, np.sqrt(squares)
-
-    return blocks
+    unit = np.column_stack([np.cos(phi) * np.cos(lam), np.cos(phi) * np.sin(lam), np.sin(phi)])
+    return EARTH_RADIUS_KM * unit

@@ -14,13 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from spheremeans.functions.geo import EARTH_RADIUS_KM, is_located
-from spheremeans.operators.assign import Centroids, label_placed, nearest_two, place
+from spheremeans.operators.assign import Centroids, distinct_places, label_placed, nearest_two, place
 
 TILE_DEGREES = 10.0
 CELL_DEGREES = 0.5
@@ -147,13 +146,9 @@ def judge_cells(placed_cells: DataFrame, pairs: Centroids) -> DataFrame:
 
     Points without a place form a cell of their own, with no label and nothing to decide.
 
-    Of centroids at one place only the first can win, so the others are left out;
-    they would make every cell around them look contested.
+    Copies of a centroid are left out, or every cell around them would look contested.
     """
-    first: dict[tuple[float, float], int] = {}
-    for i, pair in enumerate(pairs):
-        first.setdefault(pair, i)
-    found = nearest_two(np.asarray(list(first)), np.asarray(list(first.values())))
+    found = nearest_two(*distinct_places(pairs))
     judged = placed_cells.withColumn("_found", found("_x", "_y", "_z"))
     gap = F.col("_found.second") - F.col("_found.best")
     slack = gap - 2 * F.col("radius_km") - _ROUNDING_KM

@@ -52,6 +52,17 @@ def test_ties_go_to_the_lowest_id(spark, limit):
     assert got == {0: 1, 1: 0}
 
 
+def test_near_ties_are_decided_by_distance(spark):
+    """Centroids metres apart, points between them: dot products cannot tell."""
+    centroids = [(10.0 + i * 1e-7, 20.0 - i * 1e-7) for i in range(40)] + [(10.0, 20.0)]
+    points = [(i, 10.0 + i * 3.3e-8, 20.0 - i * 2.9e-8) for i in range(200)]
+    df = spark.createDataFrame(points, SCHEMA)
+    for r in assign(df, centroids, distance="km", unroll_limit=0).collect():
+        km = [chord((r["latitude"], r["longitude"]), c) for c in centroids]
+        assert r["km"] == pytest.approx(min(km), abs=1e-9)
+        assert km[r["cluster_id"]] == pytest.approx(min(km), abs=1e-9)
+
+
 @pytest.mark.parametrize("limit", [0, 1000])
 def test_no_label_without_a_place(spark, limit):
     nan, inf = float("nan"), float("inf")
