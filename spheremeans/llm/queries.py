@@ -6,20 +6,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import find_duplicates
+from .language_id import predict_language
 from .mixing import sample_copies
 from .packing import pack_documents
+from .quality import score_quality
 from .token_counts import count_tokens
+from .topk import quantised, top_k
+from .toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", quantised("embedding").alias("vector"))
+    return top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(_table(spark, sf_dir, "documents"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def _labels(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return _table(spark, sf_dir, "labels").select("doc_id", F.col(name).alias("label"))
+
+
+def op4_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _labels(spark, sf_dir, "quality"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -31,15 +48,51 @@ def op6_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_bitmask_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_language(_table(spark, sf_dir, "documents"))
+
+
+def op9_chain_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _labels(spark, sf_dir, "toxic"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op5_exact_dedup, op6_systematic_mixing, op10_token_counts)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_norm_bucket_topk,
+        op3_best_fit_packing,
+        op4_attention_quality,
+        op5_exact_dedup,
+        op6_systematic_mixing,
+        op8_bitmask_language,
+        op9_chain_toxicity,
+        op10_token_counts,
+    )
+}
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
+    "op1_norm_bucket_topk": """
+        WITH usable AS (
+            SELECT e.vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings e
+            WHERE e.vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+            FROM usable q, usable c
+            WHERE q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
     "op5_exact_dedup": f"""
         WITH t AS (SELECT doc_id, {_FOLDED} AS x FROM documents)
         SELECT doc_id,
