@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .exact_dedup import find_duplicates
 from .language_id import predict_language
 from .mixing import sample_copies
+from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .quality import score_quality
 from .token_counts import count_tokens
@@ -24,6 +25,10 @@ def op1_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+def op2_probminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(_table(spark, sf_dir, "documents"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -64,6 +69,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_norm_bucket_topk,
+        op2_probminhash_dedup,
         op3_best_fit_packing,
         op4_attention_quality,
         op5_exact_dedup,
