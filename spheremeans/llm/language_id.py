@@ -130,26 +130,37 @@ def fit(training: DataFrame) -> LanguageFilter | None:
     return LanguageFilter([r[0] for r in lists], [np.array(r[1], dtype=np.int64) for r in lists])
 
 
+def _decide(texts: pa.Array, answers: np.ndarray, false_rate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of the language of each text, one past the last for none, and its score."""
+    found = corrected_counts(answers, false_rate, texts)
+    total = found.sum(axis=1)
+    top = found.argmax(axis=1)
+    score = np.where(total > 0, found[np.arange(len(top)), top] / np.maximum(total, 1e-9), 0.0)
+    letters = pa.compute.match_substring_regex(texts.fill_null(""), r"\p{L}").to_numpy(zero_copy_only=False)
+    nothing = ~letters.astype(bool)
+    top[nothing] = len(false_rate)
+    score[nothing] = 0.0
+    return top, np.clip(score, 0, 1)
+
+
 def _predict(batches, answers, false_rate, languages):
-    table, rates = answers.value, np.asarray(false_rate)
     names = np.array([*languages, UNKNOWN], dtype=object)
     for batch in batches:
         for part in text_slices(batch, "text"):
-            texts = part.column("text")
-            found = corrected_counts(table, rates, texts)
-            total = found.sum(axis=1)
-            top = found.argmax(axis=1)
-            score = np.where(total > 0, found[np.arange(len(top)), top] / np.maximum(total, 1e-9), 0.0)
-            letters = pa.compute.match_substring_regex(texts.fill_null(""), r"\p{L}").to_numpy(zero_copy_only=False)
-            nothing = ~letters.astype(bool)
-            top[nothing] = len(languages)
-            score[nothing] = 0.0
+            top, score = _decide(part.column("text"), answers.value, np.asarray(false_rate))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("held_out"), pa.array(names[top], pa.string()), pa.array(np.clip(score, 0, 1))],
+                [part.column("doc_id"), part.column("held_out"), pa.array(names[top], pa.string()), pa.array(score)],
                 names=["doc_id", "held_out", "lang_pred", "score"],
             )
 
 
+def _keep(batches, answers, false_rate):
+    for batch in batches:
+        for part in text_slices(batch, "text"):
+            top, score = _decide(part.column("text"), answers.value, np.asarray(false_rate))
+            yield part.filter(pa.array((top < len(false_rate)) & (score > 0)))
+
+
 def predict_language(docs: DataFrame, training: DataFrame | None = None, parts: int = 4, held_out: int = 2) -> DataFrame:
     """doc_id, held_out, lang_pred, score: one row for each row of ``docs``.
 
@@ -173,9 +184,10 @@ def predict_language(docs: DataFrame, training: DataFrame | None = None, parts:
     return rows.mapInArrow(work, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_known_language(docs: DataFrame) -> DataFrame:
+def keep_known_language(docs: DataFrame, parts: int = 4, held_out: int = 2) -> DataFrame:
     """``docs`` without texts that no language is found for: null, no letter, or no known n-gram."""
-    columns = docs.columns
-    found = predict_language(docs)
-    good = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0)).select(F.col("doc_id").alias("_d")).distinct()
-    return docs.join(good, docs["doc_id"].eqNullSafe(good["_d"]), "left_semi").select(*columns)
+    learned = fit(docs.where(fold("doc_id", parts) != held_out))
+    if learned is None:
+        return docs.where("false")
+    answers = docs.sparkSession.sparkContext.broadcast(learned.look_up())  # 2**18 masks
+    return docs.mapInArrow(partial(_keep, answers=answers, false_rate=learned.false_rate.tolist()), docs.schema)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import find_duplicates
 from .language_id import predict_language
+from .language_model import score_texts
 from .mixing import sample_copies
 from .near_dedup import near_duplicates
 from .packing import pack_documents
@@ -53,6 +54,10 @@ def op6_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op8_bitmask_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(_table(spark, sf_dir, "documents"))
 
@@ -74,6 +79,7 @@ QUERIES = {
         op4_attention_quality,
         op5_exact_dedup,
         op6_systematic_mixing,
+        op7_recurrent_lm,
         op8_bitmask_language,
         op9_chain_toxicity,
         op10_token_counts,
