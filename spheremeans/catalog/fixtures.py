@@ -8,6 +8,7 @@ its check start from equal points.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spheremeans.config import new_path
 
@@ -67,11 +68,15 @@ _ID = "cast(point_id as string)"
 
 # Lines with some records spoilt: ragged, zero, near zero, whole or no numbers.
 LINES: dict[str, str] = {
-    "pipe": f"concat({_SPOT}, '|', fmt6(longitude), '|', {_ID})",
+    "pipe": f"""concat(
+        case point_id % 50 when 0 then '12.5d' when 1 then 'x' else {_SPOT} end, '|',
+        case point_id % 50 when 2 then '3f' else fmt6(longitude) end, '|', {_ID})""",
     "space": f"""case point_id % 50
         when 0 then concat({_SPOT}, '  ', fmt6(longitude))
         when 1 then concat({_SPOT}, ' ', fmt6(longitude), ' http://x/', {_ID}, ' more')
         when 2 then concat(' ', {_SPOT}, ' ', fmt6(longitude))
+        when 3 then concat({_SPOT}, ' ', fmt6(longitude), '  a b c  d')
+        when 4 then concat({_SPOT}, ' ', fmt6(longitude), ' "a', soh, 'b')
         else concat({_SPOT}, '  ', fmt6(longitude), '   http://x/', {_ID}) end""",
     "device": f"""concat('2014-03-15:10:', {_ID}, ',',
         case when point_id % 50 = 4 then 'Solo' else concat('Maker', cast(point_id % 7 as string), ' M', cast(point_id % 11 as string)) end,
@@ -82,7 +87,7 @@ LINES: dict[str, str] = {
         case point_id % 50 when 0 then '0' when 1 then '0.0' when 2 then '' when 3 then '-0.25' else {_SPOT} end,
         tab, fmt6(longitude), tab, {_ID})""",
     "comma": f"""concat(
-        case point_id % 50 when 0 then '40' when 1 then '12.5abc' else {_SPOT} end, ',',
+        case point_id % 50 when 0 then '40' when 1 then '12.5abc' when 3 then '12.5d' when 4 then '12.5f' else {_SPOT} end, ',',
         case point_id % 50 when 2 then '' else fmt6(longitude) end, ',"red, used",', {_ID})""",
 }
 
@@ -103,11 +108,8 @@ def point_view_sql(view: str) -> str:
 
 def line_sql(layout: str, engine: str) -> str:
     """The line expression in the dialect of ``spark`` or ``duckdb``."""
-    fmt, tab = {
-        "spark": ("format_string('%.6f', ", "'\\t'"),
-        "duckdb": ("printf('%.6f', ", "chr(9)"),
-    }[engine]
-    return LINES[layout].replace("fmt6(", fmt).replace("tab,", f"{tab},")
+    fmt = {"spark": "format_string('%.6f', ", "duckdb": "printf('%.6f', "}[engine]
+    return LINES[layout].replace("fmt6(", fmt).replace("tab,", "chr(9),").replace("soh,", "chr(1),")
 
 
 def written_lines(spark: SparkSession, sf_dir: str, layout: str) -> str:
@@ -116,14 +118,9 @@ def written_lines(spark: SparkSession, sf_dir: str, layout: str) -> str:
     lines = points.selectExpr(f"{line_sql(layout, 'spark')} AS latitude_longitude")
     path = new_path(spark, f"lines-{layout}")
     if layout in HEADED:
-        lines.write.options(
-            header=True,
-            sep="\u0001",
-            quote="",
-            escape="",
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-        ).csv(path)
-    else:
-        lines.write.text(path)
+        # A partition becomes a file, so its first row brings the heading.
+        first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+        line = F.col("latitude_longitude")
+        lines = lines.select(F.when(first, F.concat(F.lit("latitude_longitude\n"), line)).otherwise(line).alias("value"))
+    lines.write.text(path)
     return path

@@ -33,6 +33,8 @@ def _points(view: str) -> str:
     """CTE ``pts`` with a row key and the Cartesian position."""
     x, y, z = _xyz("latitude", "longitude")
     key = "row_number() over () as point_id, " if view == "lineitem_points" else ""
+    if view == "located_event_points":
+        return _points("event_points").replace(") v)", ") v where point_id % 10 <> 0)")
     return (
         f"pts as materialized (select {key}*, {x} as x, {y} as y, {z} as z"
         f" from ({point_view_sql(view)}) v)"
@@ -109,6 +111,12 @@ def _final(*args, **options) -> str:
 
 
 _SEEDS6 = _drawn_seeds(6)
+_WITH_EMPTY = f"""seeds as materialized ({point_view_sql("region_seeds")}
+        union all select cast((select count(*) from region) as integer), 89e0, 0e0)"""
+_TIED = """(select cast(i * 4 + j as integer) as cluster_id, [20e0, -20e0, 40e0, -40e0][j + 1] as c_lat,
+                   cast(-160 + 40 * i as double) as c_lon
+            from range(9) a(i), range(4) b(j)
+            union all select cast(36 + i as integer), 20e0, 0e0 from range(3) c(i))"""
 _NEAR = _nearest("event_points", _SEEDS6)
 _LABELLED = f"{_NEAR} select point_id, cluster_id, {_PLACE} from near"
 _UNLABELLED = f"{_NEAR} select cluster_id, {_PLACE} from near"
@@ -134,7 +142,7 @@ def _lines(layout: str) -> str:
 
 def _split(layout: str, pattern: str) -> str:
     return (
-        f"{_lines(layout)}, split as (select regexp_split_to_array(value, '{pattern}') as f from lines)"
+        f"{_lines(layout)}, split as (select value, regexp_split_to_array(value, '{pattern}') as f from lines)"
     )
 
 
@@ -197,6 +205,23 @@ ORACLES: dict[str, str] = {
     "kmeans_converged_customer": _final("customer_points", _SEEDS6),
     "kmeans_lineitem_regions": _final("lineitem_points", _table_seeds("region_seeds")),
     "kmeans_lineitem_nations": _final("lineitem_points", _table_seeds("nation_seeds")),
+    "kmeans_tiles": _final("event_points", _SEEDS6),
+    "kmeans_many_centroids": _final("customer_points", _drawn_seeds(100), tol=-1.0, max_iter=2),
+    "kmeans_predict": f"""{_loop("event_points", _SEEDS6)},
+        last as (select cluster_id, latitude, longitude from fit
+                 where iteration = (select max(iteration) from fit))
+        select point_id, cluster_id, {_PLACE} from ({_ranked("last")}) r where rn = 1""",
+    "kmeans_unlocated": f"""select f.*, n_unlocated
+        from ({_final("located_event_points", _table_seeds("region_seeds"), tol=-1.0, max_iter=2)}) f,
+             (select count(*) as n_unlocated from ({point_view_sql("event_points")}) v where point_id % 10 = 0) u""",
+    "kmeans_empty_cluster": _final("event_points", _WITH_EMPTY, tol=-1.0, max_iter=2),
+    "nearest_centroid_ties": f"""
+        with pts as (select point_id, longitude as lon from ({point_view_sql("event_points")}) v),
+        near as (select point_id, lon, cluster_id,
+                        row_number() over (partition by point_id order by round(km, 5), cluster_id) as rn, km
+                 from (select point_id, lon, cluster_id, {_chord("0e0", "lon", "c_lat", "c_lon")} as km
+                       from pts, {_TIED}))
+        select point_id, cluster_id as by_array, cluster_id, round(km, 6) as distance_km from near where rn = 1""",
     "kmeans_history": f"""{_loop("event_points", _SEEDS6)}
         select iteration, cluster_id, n_points, round(km, 6) as displacement_km, {_PLACE} from fit""",
     "kmeans_assignments": f"""{_loop("event_points", _SEEDS6)},
@@ -212,7 +237,8 @@ ORACLES: dict[str, str] = {
     "scan_comma": f"{_split('comma', ',')} select f[1] as latitude, f[2] as longitude from split",
     "line_count": f"{_lines('tab')} select count(*) as n_lines from lines",
     "arity_filter": f"""{_split("space", " +")}
-        select cast(len(f) as integer) as n_fields, count(*) as n_lines from split group by 1""",
+        select value from split where len(f) = 3""",
+    "scan_first_line": f"{_lines('space')} select value from lines",
     "decimal_filter": f"""{_split("comma", ",")}
         select f[1] as latitude, f[2] as longitude from split where {_BOTH_DECIMAL}""",
     "zero_lat_exact": f"""{_DEVICE} select f[3] as "deviceId", f[13] as latitude from split

@@ -13,9 +13,9 @@ from spheremeans.functions import geo, text
 from spheremeans.operators import centroids as cent
 from spheremeans.operators.assign import assign
 from spheremeans.operators.clusters import cluster_lists, cluster_points
-from spheremeans.operators.filters import decimal_shaped, nonzero
+from spheremeans.operators.filters import decimal_shaped, has_fields, nonzero
 from spheremeans.plans import cleaning
-from spheremeans.plans.kmeans import Model, fit
+from spheremeans.plans.kmeans import CENTROID_SCHEMA, Model, fit
 from spheremeans.sinks import points as sinks
 from spheremeans.sources import clusters as saved
 from spheremeans.sources import lines as scans
@@ -24,6 +24,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 K, SEED, KEY, CHUNK = 6, 1, "point_id", 100
 
+# Pairs that mirror each other at the equator, and copies.
+TIED = [(s * lat, lon) for lon in range(-160, 180, 40) for lat in (20.0, 40.0) for s in (1, -1)] + [(20.0, 0.0)] * 3
+
 
 def _r(column: Column | str, name: str | None = None) -> Column:
     return F.round(column, 6).alias(name or str(column))
@@ -120,19 +123,23 @@ def centroid_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(cent.number_centroids(means.drop("cluster_id"), *PLACE), "cluster_id", "n_points")
 
 
+def _before_and_after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Seeds and the means they lead to; the seeds are drawn once."""
+    points, seeds = _seeded(spark, sf_dir)
+    rows = [(i, lat, lon) for i, (lat, lon) in enumerate(seeds)]
+    return spark.createDataFrame(rows, CENTROID_SCHEMA), cent.cluster_means(assign(points, seeds))
+
+
 def _displacement(metric: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        points = _events(spark, sf_dir)
-        old = cent.seed_centroids(points, K, SEED)
-        new = cent.cluster_means(_assigned(spark, sf_dir))
+        old, new = _before_and_after(spark, sf_dir)
         return cent.displacement(old, new, metric).select(_r("displacement_km"))
 
     return query
 
 
 def centroid_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = cent.seed_centroids(_events(spark, sf_dir), K, SEED)
-    moves = cent.centroid_moves(old, cent.cluster_means(_assigned(spark, sf_dir)))
+    moves = cent.centroid_moves(*_before_and_after(spark, sf_dir))
     return moves.select("cluster_id", *[_r(c) for c in moves.columns if c != "cluster_id"])
 
 
@@ -176,6 +183,39 @@ def kmeans_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_fit(spark, sf_dir, k=K, key=KEY).assignments(), KEY, "cluster_id")
 
 
+def kmeans_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _final(_fit(spark, sf_dir, k=K, key=KEY, cache="tiles"))
+
+
+def kmeans_many_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _final(_fit(spark, sf_dir, "customer_points", k=100, key=KEY, tol_km=-1.0, max_iter=2))
+
+
+def kmeans_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_fit(spark, sf_dir, k=K, key=KEY).predict(), KEY, "cluster_id")
+
+
+def kmeans_unlocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth point lacks a coordinate; they are counted and get no label."""
+    points = _events(spark, sf_dir).withColumn("latitude", F.when(F.col(KEY) % 10 != 0, F.col("latitude")))
+    model = fit(points, init=point_view(spark, sf_dir, "region_seeds"), tol_km=-1.0, max_iter=2)
+    return _final(model).withColumn("n_unlocated", F.lit(model.n_unlocated).cast("bigint"))
+
+
+def kmeans_empty_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A centroid that is nobody's nearest stays where it is."""
+    seeds = [(r.latitude, r.longitude) for r in point_view(spark, sf_dir, "region_seeds").orderBy("cluster_id").collect()]
+    return _final(_fit(spark, sf_dir, init=[*seeds, (89.0, 0.0)], tol_km=-1.0, max_iter=2))
+
+
+def nearest_centroid_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points on the equator between mirrored and repeated centroids: the lowest id wins."""
+    points = _events(spark, sf_dir).withColumn("latitude", F.lit(0.0))
+    found = assign(points, TIED, distance="distance_km", unroll_limit=0)
+    both = assign(found.withColumnRenamed("cluster_id", "by_array"), TIED)
+    return both.select(KEY, "by_array", "cluster_id", _r("distance_km"))
+
+
 def scan_pipe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(scans.read_pipe_points(spark, written_lines(spark, sf_dir, "pipe")))
 
@@ -203,8 +243,11 @@ def line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def arity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = scans.read_lines(spark, written_lines(spark, sf_dir, "space"), skip_first=True)
-    parts = F.size(text.fields("value", text.SPACES, 3))
-    return lines.groupBy(parts.alias("n_fields")).agg(F.count(F.lit(1)).alias("n_lines"))
+    return lines.filter(has_fields(text.fields("value", text.SPACES, 3), 3))
+
+
+def scan_first_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.read_lines(spark, written_lines(spark, sf_dir, "space"), skip_first=True)
 
 
 def decimal_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,6 +317,12 @@ QUERIES: dict[str, Query] = {
     "kmeans_converged_customer": kmeans_converged_customer,
     "kmeans_lineitem_regions": kmeans_lineitem_regions,
     "kmeans_lineitem_nations": kmeans_lineitem_nations,
+    "kmeans_tiles": kmeans_tiles,
+    "kmeans_many_centroids": kmeans_many_centroids,
+    "kmeans_predict": kmeans_predict,
+    "kmeans_unlocated": kmeans_unlocated,
+    "kmeans_empty_cluster": kmeans_empty_cluster,
+    "nearest_centroid_ties": nearest_centroid_ties,
     "kmeans_history": kmeans_history,
     "kmeans_assignments": kmeans_assignments,
     "scan_pipe": scan_pipe,
@@ -283,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "scan_comma": scan_comma,
     "line_count": line_count,
     "arity_filter": arity_filter,
+    "scan_first_line": scan_first_line,
     "decimal_filter": decimal_filter,
     "zero_lat_exact": _zero_filter("exact"),
     "zero_lat_truncate": _zero_filter("truncate"),

@@ -61,8 +61,9 @@ def distance_km(
 
 
 def is_located(lat: Column | str, lon: Column | str) -> Column:
-    """True where both coordinates are present finite numbers."""
-    ok = F.lit(True)
-    for c in (_col(lat), _col(lon)):
-        ok = ok & F.coalesce(F.abs(c) < F.lit(float("inf")), F.lit(False))
-    return ok
+    """True where both coordinates are present finite numbers.
+
+    Written so that a scan can be told to skip missing coordinates.
+    """
+    lat, lon, bound = _col(lat), _col(lon), F.lit(float("inf"))
+    return lat.isNotNull() & lon.isNotNull() & (F.abs(lat) < bound) & (F.abs(lon) < bound)

@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The separators of each raw layout, as regular expressions.
-PIPE = r"\|"
 COMMA = ","
 TAB = r"\t"
 SPACES = " +"
@@ -15,6 +14,12 @@ COMMA_PIPE_SLASH = r",|\||/"
 # Fixed value: an optional minus sign, digits, a point, digits.
 DECIMAL_SHAPE = r"^-?\d+\.\d+"
 
+# Fixed value: text that is a number as a whole; casts also accept 12.5d and 12.5f.
+NUMBER = r"(?i)^\s*([+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?|[+-]?inf(inity)?|nan)\s*$"
+
+# Something besides white space and control characters.
+NOT_BLANK = r"[^\x00-\x20]"
+
 
 def fields(line: Column | str, pattern: str, needed: int) -> Column:
     """Split a line into its first ``needed`` fields and the unsplit rest.
@@ -28,4 +33,4 @@ def fields(line: Column | str, pattern: str, needed: int) -> Column:
 def to_double(value: Column | str) -> Column:
     """Null instead of an error for text that is not a number."""
     c = F.col(value) if isinstance(value, str) else value
-    return c.try_cast("double")
+    return F.when(c.rlike(NUMBER), c.try_cast("double"))

@@ -109,7 +109,8 @@ def label_placed(
 
 
 def _unrolled(placed: DataFrame, kept: list[str], pairs: Centroids) -> DataFrame:
-    distances = [f"{_chord_sql(lat, lon)} AS _d{i}" for i, (lat, lon) in enumerate(pairs)]
+    centres = _positions(np.asarray(pairs, dtype=np.float64)).tolist()
+    distances = [f"{_chord_sql(centre)} AS _d{i}" for i, centre in enumerate(centres)]
     names = [f"_d{i}" for i in range(len(pairs))]
     best = f"least({', '.join(names)})" if len(names) > 1 else names[0]
     return placed.selectExpr(*kept, *distances).selectExpr("*", f"{best} AS _best")
@@ -120,15 +121,13 @@ def _first_at_best(k: int) -> str:
     return f"CASE WHEN isnan(_best) THEN NULL {branches} END"
 
 
-def _chord_sql(lat: float, lon: float) -> str:
-    """Distance from (_x, _y, _z) to one centroid, whose position folds to constants."""
-    r, phi, lam = f"{EARTH_RADIUS_KM!r}D", f"radians({lat!r}D)", f"radians({lon!r}D)"
-    where = (
-        f"{r} * cos({phi}) * cos({lam})",
-        f"{r} * cos({phi}) * sin({lam})",
-        f"{r} * sin({phi})",
-    )
-    squares = [f"(_{axis} - {v}) * (_{axis} - {v})" for axis, v in zip("xyz", where, strict=True)]
+def _chord_sql(centre: Sequence[float]) -> str:
+    """Distance from (_x, _y, _z) to one centroid.
+
+    The position is the one the vectorised form uses, and the operations come in the same
+    order, so a tie in one form is a tie in the other.
+    """
+    squares = [f"(_{axis} - ({v!r}D)) * (_{axis} - ({v!r}D))" for axis, v in zip("xyz", centre, strict=True)]
     return f"sqrt({' + '.join(squares)})"
 
 

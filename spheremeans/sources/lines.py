@@ -10,35 +10,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spheremeans.functions import text
-
-POINT_SCHEMA = "latitude double, longitude double"
+from spheremeans.operators.filters import has_fields
 
 
 def read_lines(spark: SparkSession, path: str | list[str], skip_first: bool = False) -> DataFrame:
-    """One row per non-empty line, column ``value``.
+    """One row per line that is not blank, column ``value``.
 
     With ``skip_first`` the first line of every file is left out. Spark only does
-    that for CSV, hence a CSV scan whose separator never occurs in the text.
+    that for CSV, hence a CSV scan of one column. A line that holds the separator
+    has too many columns; the scan then hands it over whole as a corrupt record.
+    Lines of white space and control characters alone are dropped either way.
     """
     if skip_first:
-        return (
-            spark.read.schema("value string")
-            .options(header=True, sep="\u0001", quote="", escape="", lineSep="\n")
+        lines = (
+            spark.read.schema("value string, _corrupt_record string")
+            .options(
+                header=True, sep="\u0001", quote="", escape="", lineSep="\n", mode="PERMISSIVE",
+                columnNameOfCorruptRecord="_corrupt_record",
+            )
             .csv(path)
-        )
-    return spark.read.option("lineSep", "\n").text(path).filter(F.length("value") > 0)
+        )
+        lines = lines.select(F.coalesce("_corrupt_record", "value").alias("value"))
+    else:
+        lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.filter(F.col("value").rlike(text.NOT_BLANK))
 
 
 def read_pipe_points(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Cleaned points, ``latitude|longitude`` under a header, typed by the scan.
+    """Cleaned points, ``latitude|longitude`` under a header.
 
     Fields after the second are ignored; text that is no number reads as null.
     """
-    return (
-        spark.read.schema(POINT_SCHEMA)
+    fields = (
+        spark.read.schema("latitude string, longitude string")
         .options(header=True, sep="|", quote="", escape="", lineSep="\n", enforceSchema=True)
         .csv(path)
     )
+    return typed_points(fields)
 
 
 def split_fields(lines: DataFrame, pattern: str, names: dict[int, str]) -> DataFrame:
@@ -66,7 +74,7 @@ def read_space_fields(
     """
     lines = read_lines(spark, path, skip_first)
     parts = text.fields("value", text.SPACES, 3)
-    return lines.select(parts.alias("parts")).filter(F.size("parts") == 3).select(
+    return lines.select(parts.alias("parts")).filter(has_fields("parts", 3)).select(
         F.get("parts", F.lit(0)).alias("latitude"), F.get("parts", F.lit(1)).alias("longitude")
     )
 

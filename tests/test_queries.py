@@ -7,14 +7,14 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_points
+from spheremeans.catalog.oracles import ORACLES
+from spheremeans.catalog.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -47,6 +47,8 @@ def test_matches_sql(spark, duck, name):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
