@@ -203,7 +203,7 @@ def _with_comp(frame: DataFrame, column: str, comps: DataFrame, name: str) -> Da
     return frame.join(known, column, "left").withColumn(name, F.coalesce("_comp", column)).drop("_comp")
 
 
-def _compare_block(table: pa.Table, m: int, least: float) -> pa.Table:
+def _compare_block(table: pa.Table, m: int, bands: int, least: float) -> pa.Table:
     """Pairs of different classes in one block whose registers agree often enough."""
     node = table["node"].combine_chunks()
     comp = table["comp"].to_numpy()
@@ -211,14 +211,18 @@ def _compare_block(table: pa.Table, m: int, least: float) -> pa.Table:
     block = table["block"].to_numpy()
     i, j = table["i"][0].as_py(), table["j"][0].as_py()
     s = np.frombuffer(b"".join(table["registers"].to_pylist()), dtype=np.uint8).reshape(len(node), m)
+    band, rows = table["band"][0].as_py(), m // bands
     left = np.flatnonzero(block == i)
     out_a, out_b, out_n = [], [], []
     for x in left:
         rest = np.flatnonzero((comp != comp[x]) & ((block == j) if i != j else (np.arange(len(comp)) > x)))
         if not len(rest):
             continue
-        same = (s[rest] == s[x]).sum(axis=1)
-        good = same >= least * m
+        equal = s[rest] == s[x]
+        same = equal.sum(axis=1)
+        # A pair comes out of the first band that it shares, and of no other bucket.
+        earlier = equal[:, : band * rows].reshape(len(rest), band, rows).all(axis=2).any(axis=1)
+        good = (same >= least * m) & ~earlier
         out_a += [x] * int(good.sum())
         out_b += rest[good].tolist()
         out_n += same[good].tolist()
@@ -231,23 +235,24 @@ def _compare_block(table: pa.Table, m: int, least: float) -> pa.Table:
     )
 
 
-def pairs_still_apart(hits: DataFrame, registers: DataFrame, comps: DataFrame, m: int, threshold: float, block: int = BLOCK) -> DataFrame:
+def pairs_still_apart(
+    hits: DataFrame, registers: DataFrame, comps: DataFrame, m: int, bands: int, threshold: float, block: int = BLOCK
+) -> DataFrame:
     """a, b, agree: pairs of different classes that share a bucket and may reach the threshold.
 
-    hits: bucket, node. Only buckets that hold several classes are looked at.
+    hits: bucket, band, node. Only buckets that hold several classes are looked at.
     """
-    placed = _with_comp(hits.select("bucket", "node"), "node", comps, "comp")
+    placed = _with_comp(hits.select("bucket", "band", "node"), "node", comps, "comp")
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
     mixed = mixed.where("lo <> hi").select("bucket", F.ceil(F.col("n") / block).cast("int").alias("g"))
     rows = placed.join(mixed, "bucket").join(registers, "node")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("g")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, g - 1)")))
     rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    rows = rows.select("bucket", "i", "j", "block", "node", "comp", "registers")
+    rows = rows.select("bucket", "band", "i", "j", "block", "node", "comp", "registers")
     least = threshold - 4 * (threshold * (1 - threshold) / m) ** 0.5
-    found = rows.groupBy("bucket", "i", "j").applyInArrow(lambda t: _compare_block(t, m, least), "a binary, b binary, agree int")
-    ends = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "agree")
-    return ends.groupBy("a", "b").agg(F.max("agree").alias("agree"))
+    found = rows.groupBy("bucket", "i", "j").applyInArrow(lambda t: _compare_block(t, m, bands, least), "a binary, b binary, agree int")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "agree")
 
 
 def near_duplicates(
@@ -277,7 +282,7 @@ def near_duplicates(
     )
     nodes = cut(nodes)
 
-    in_band = nodes.select("node", F.explode("bands").alias("bucket"))
+    in_band = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = in_band.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     hits = cut(in_band.join(shared, "bucket"))
     company = hits.groupBy("node").agg(F.sum("n").alias("company"))
@@ -295,7 +300,7 @@ def near_duplicates(
 
     links = cut(verify(best, texts, threshold, size))
     comps = components(links)
-    apart = cut(pairs_still_apart(hits, nodes.select("node", "registers"), comps, m, threshold))
+    apart = cut(pairs_still_apart(hits, nodes.select("node", "registers"), comps, m, bands, threshold))
     between = _with_comp(_with_comp(apart, "a", comps, "ca"), "b", comps, "cb")
     between = between.withColumns({"ca": F.least("ca", "cb"), "cb": F.greatest("ca", "cb")})
     likeliest = between.groupBy("ca", "cb").agg(F.max(F.struct("agree", "a", "b")).alias("p"))
