@@ -217,8 +217,12 @@ class GatedModel:
         filled = sorted((lane for lane in lanes if lane), key=lambda lane: -sum(int(sizes[i]) for i in lane))
         lengths = np.array([sum(int(sizes[i]) for i in lane) for lane in filled])
         y = [np.concatenate([tokens[begins[i] : begins[i + 1]] for i in lane]) for lane in filled]
-        owner = [np.repeat(lane, sizes[lane]) for lane in filled]
-        fresh = [np.isin(np.arange(len(o)), np.cumsum(sizes[lane]) - sizes[lane]) for o, lane in zip(owner, filled, strict=True)]
+        owner = [np.repeat(np.array(lane, dtype=np.int32), sizes[lane]) for lane in filled]
+        fresh = []
+        for lane, o in zip(filled, owner, strict=True):
+            starts = np.zeros(len(o), dtype=bool)
+            starts[np.cumsum(sizes[lane]) - sizes[lane]] = True
+            fresh.append(starts)
         table = self.table().astype(np.float32)
         h = np.zeros((len(filled), HIDDEN), np.float32)
         for begin in range(0, int(lengths.max(initial=0)), 64):
@@ -267,21 +271,38 @@ def _sequences(texts: pa.Array, head: np.ndarray, head_token: np.ndarray):
     return out, begins, h, shape, words.doc
 
 
-def _count(batches):
+def _merged(pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word, shape and count, once for each word."""
+    words, shapes, counts = (np.concatenate(x) for x in zip(*pieces, strict=True))
+    names, first, inverse = np.unique(words, return_index=True, return_inverse=True)
+    return names, shapes[first], np.bincount(inverse, weights=counts, minlength=len(names)).astype(np.int64)
+
+
+def _count(batches, most: int = 1 << 20):
+    """Words of the partition with shapes and counts, merged while they are fewer than ``most``."""
+    pieces, held = [], 0
+
+    def rows(pieces):
+        names, shapes, counts = _merged(pieces)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names.view(np.int64)), pa.array(shapes.astype(np.int32)), pa.array(counts)], names=["word", "shape", "n"]
+        )
+
     for batch in batches:
-        for part in text_slices(batch, "text", 8 << 20):
-            words = words_of(part.column("text"))
-            h, shape = word_codes(words)
-            names, first, n = np.unique(h, return_index=True, return_counts=True)
-            names = np.append(names, END)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(names.view(np.int64)),
-                    pa.array(np.append(shape[first], -1).astype(np.int32)),
-                    pa.array(np.append(n, part.num_rows).astype(np.int64)),
-                ],
-                names=["word", "shape", "n"],
-            )
+        for part in text_slices(batch, "text"):
+            h, shape = word_codes(words_of(part.column("text")))
+            own = _merged([(h, shape, np.ones(len(h), dtype=np.int64))])
+            ends = np.array([END]), np.array([-1]), np.array([part.num_rows])
+            pieces += [own, ends]
+            held += len(own[0])
+            if held > most:
+                pieces = [_merged(pieces)]
+                held = len(pieces[0][0])
+                if held > most // 2:
+                    yield rows(pieces)
+                    pieces, held = [], 0
+    if pieces:
+        yield rows(pieces)
 
 
 def _stretches(batches, head, head_token):
@@ -332,37 +353,41 @@ def _score(batches, model, head, head_token, table_words, table_counts, shape_un
     net, known_words, known_counts = model.value, table_words.value, table_counts.value
     end_token = int(head_token.value[np.searchsorted(head.value, END)])
     bottom = np.log10(tokens_n + 0.5 * (types_n + 1))
+    end_count = known_counts[np.searchsorted(known_words, END)]
     for batch in batches:
-        for part in text_slices(batch, "text", 16 << 20):
-            n = part.num_rows
-            tokens, begins, h, shape, doc = _sequences(part.column("text"), head.value, head_token.value)
-            own = net.score(tokens, begins, end_token) / np.log(10)
-            at = np.searchsorted(known_words, h)
-            at[at == len(known_words)] = 0
-            c = np.where(known_words[at] == h, known_counts[at], 0)
-            in_head = np.searchsorted(head.value, h)
-            in_head[in_head == len(head.value)] = 0
-            tail = head.value[in_head] != h
-            # Every tail word as if unseen; those with a count are corrected.
-            unseen = np.log10(shape_unseen)[shape]
-            seen = np.log10((1 - shape_unseen[shape]) * np.maximum(c, 1) / np.maximum(shape_mass[shape], 1))
-            own += np.bincount(doc[tail], weights=np.where(c > 0, seen, unseen)[tail], minlength=n)
-            base = np.bincount(doc, weights=np.log10(c + 0.5) - bottom, minlength=n)
-            end_count = known_counts[np.searchsorted(known_words, END)]
-            base += np.log10(end_count + 0.5) - bottom
-            known = np.bincount(doc, weights=c > 0, minlength=n) + (end_count > 0)
-            ask = c == 0
-            cuts = np.concatenate([[0], np.cumsum(np.bincount(doc[ask], minlength=n))])
+        for part in text_slices(batch, "text", 12 << 20):
+            # Hashing holds many bytes for each of the text's, the network few for each token.
+            tokens, sizes, own, base, known, asked, asks = ([] for _ in range(7))
+            for small in text_slices(part, "text"):
+                n = small.num_rows
+                seq, begins, h, shape, doc = _sequences(small.column("text"), head.value, head_token.value)
+                at = np.searchsorted(known_words, h)
+                at[at == len(known_words)] = 0
+                c = np.where(known_words[at] == h, known_counts[at], 0)
+                tail = seq[np.delete(np.arange(len(seq)), begins[1:] - 1)] >= HEAD
+                # Every tail word without a count as if unseen; later look-ups correct it.
+                unseen = np.log10(shape_unseen)[shape]
+                seen = np.log10((1 - shape_unseen[shape]) * np.maximum(c, 1) / np.maximum(shape_mass[shape], 1))
+                own.append(np.bincount(doc[tail], weights=np.where(c > 0, seen, unseen)[tail], minlength=n))
+                base.append(np.bincount(doc, weights=np.log10(c + 0.5) - bottom, minlength=n) + np.log10(end_count + 0.5) - bottom)
+                known.append(np.bincount(doc, weights=c > 0, minlength=n).astype(np.int64) + int(end_count > 0))
+                tokens.append(seq.astype(np.int16))
+                sizes.append(np.diff(begins))
+                asked.append(h[c == 0])
+                asks.append(np.bincount(doc[c == 0], minlength=n))
+            sizes = np.concatenate(sizes)
+            own = np.concatenate(own) + net.score(np.concatenate(tokens), np.concatenate([[0], np.cumsum(sizes)]), end_token) / np.log(10)
+            cuts = np.concatenate([[0], np.cumsum(np.concatenate(asks))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
                     part.column("held_out"),
                     part.column("row"),
-                    pa.array(np.diff(begins)),
-                    pa.array(known.astype(np.int64)),
-                    pa.array(base),
+                    pa.array(sizes),
+                    pa.array(np.concatenate(known)),
+                    pa.array(np.concatenate(base)),
                     pa.array(own),
-                    pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(h[ask].view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(asked).view(np.int64))),
                 ],
                 names=["doc_id", "held_out", "row", "n_tokens", "n_known", "base_score", "score", "ask"],
             )
