@@ -203,6 +203,16 @@ def _with_comp(frame: DataFrame, column: str, comps: DataFrame, name: str) -> Da
     return frame.join(known, column, "left").withColumn(name, F.coalesce("_comp", column)).drop("_comp")
 
 
+def join_classes(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` after further links (a, b): classes are contracted, not built anew."""
+    ends = _with_comp(_with_comp(links, "a", comps, "ca"), "b", comps, "cb")
+    joined = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    step = joined.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    moved = comps.join(step, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    alone = joined.join(comps.select("node"), "node", "left_anti")
+    return cut(moved.unionAll(alone))
+
+
 def _compare_block(table: pa.Table, m: int, bands: int, least: float) -> pa.Table:
     """Pairs of different classes in one block whose registers agree often enough."""
     node = table["node"].combine_chunks()
@@ -298,18 +308,15 @@ def near_duplicates(
     texts = texts.join(wanted, (texts["node"] == wanted["node"]) & texts["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
     texts = cut(texts.select("node", "text").dropDuplicates(["node"]))
 
-    links = cut(verify(best, texts, threshold, size))
-    comps = components(links)
+    comps = components(verify(best, texts, threshold, size))
     apart = cut(pairs_still_apart(hits, nodes.select("node", "registers"), comps, m, bands, threshold))
     between = _with_comp(_with_comp(apart, "a", comps, "ca"), "b", comps, "cb")
     between = between.withColumns({"ca": F.least("ca", "cb"), "cb": F.greatest("ca", "cb")})
     likeliest = between.groupBy("ca", "cb").agg(F.max(F.struct("agree", "a", "b")).alias("p"))
     likeliest = likeliest.select(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
-    links = cut(links.unionAll(verify(likeliest, texts, threshold, size)))
-    comps = components(links)
+    comps = join_classes(comps, verify(likeliest, texts, threshold, size))
     left = _with_comp(_with_comp(apart, "a", comps, "ca"), "b", comps, "cb").where("ca <> cb").select("a", "b")
-    links = links.unionAll(verify(left, texts, threshold, size))
-    comps = components(links)
+    comps = join_classes(comps, verify(left, texts, threshold, size))
 
     joined = _with_comp(members.where("node is not null"), "node", comps, "comp")
     classes = joined.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
