@@ -119,7 +119,6 @@ _TIED = """(select cast(i * 4 + j as integer) as cluster_id, [20e0, -20e0, 40e0,
             union all select cast(36 + i as integer), 20e0, 0e0 from range(3) c(i))"""
 _NEAR = _nearest("event_points", _SEEDS6)
 _LABELLED = f"{_NEAR} select point_id, cluster_id, {_PLACE} from near"
-_UNLABELLED = f"{_NEAR} select cluster_id, {_PLACE} from near"
 _CHUNKED = f"""{_NEAR},
     sized as (select *, cast(ceil(count(*) over (partition by cluster_id) / 100e0) as bigint) as n from near),
     chunked as (select *, cast(concat('0x', substr(md5(cast(point_id as string)), 1, 8)) as bigint) % n as chunk
@@ -259,6 +258,6 @@ ORACLES: dict[str, str] = {
         select {_TYPED.format("f[1]", "f[2]")} from split where {_BOTH_DECIMAL}""",
     "clean_points_roundtrip": f"select {_PLACE} from ({point_view_sql('event_points')}) v",
     "cluster_long_roundtrip": _LABELLED,
-    "cluster_text_roundtrip": _UNLABELLED,
-    "cluster_csv_roundtrip": _UNLABELLED,
+    "cluster_text_roundtrip": f"{_CHUNKED} select cluster_id, chunk, {_PLACE} from chunked",
+    "cluster_csv_roundtrip": f"{_CHUNKED} select cluster_id, chunk, {_PLACE} from chunked",
 }

@@ -291,7 +291,7 @@ def _list_roundtrip(write: Callable[..., None], read: Callable[..., DataFrame])
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = new_path(spark, "clusters")
         write(cluster_lists(_assigned(spark, sf_dir), KEY, CHUNK), path)
-        return _rounded(cluster_points(read(spark, path)), "cluster_id")
+        return _rounded(cluster_points(read(spark, path)), "cluster_id", "chunk")
 
     return query
 

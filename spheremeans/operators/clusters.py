@@ -22,21 +22,30 @@ def _bucket(key: Column, buckets: Column) -> Column:
     return F.pmod(F.conv(leading, 16, 10).cast("bigint"), buckets)
 
 
-def _chunks_per_cluster(assigned: DataFrame, chunk_rows: int) -> Column:
-    """Number of chunks of the row's cluster, from one counting pass."""
-    sizes = {r["cluster_id"]: r["n_points"] for r in cluster_sizes(assigned).collect()}
-    sizes.pop(None, None)
-    chunks = [-(-sizes.get(i, 1) // chunk_rows) for i in range(max(sizes, default=0) + 1)]
-    constants = ", ".join(f"{n}L" for n in chunks)
-    return F.get(F.expr(f"array({constants})"), F.col("cluster_id"))
+def _with_chunks(assigned: DataFrame, chunk_rows: int, sizes: DataFrame | None) -> DataFrame:
+    """``assigned`` with ``_chunks``, the number of chunks of the row's cluster.
+
+    ``sizes`` (cluster_id, n_points) saves counting; a cluster that it lacks is one chunk.
+    """
+    if sizes is None:
+        sizes = cluster_sizes(assigned)
+    chunks = sizes.select(
+        F.col("cluster_id").alias("_c"), F.ceil(F.col("n_points") / chunk_rows).cast("bigint").alias("_n")
+    )
+    rows = assigned.join(chunks, assigned["cluster_id"] == chunks["_c"], "left")
+    return rows.withColumn("_chunks", F.greatest(F.coalesce("_n", F.lit(1)), F.lit(1))).drop("_c", "_n")
 
 
 def cluster_lists(
-    assigned: DataFrame, key: str | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS
+    assigned: DataFrame,
+    key: str | None = None,
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Parallel latitude and longitude lists per cluster and chunk.
 
-    With a unique ``key`` points go to chunks by key and are listed in key order.
+    With a unique ``key`` points go to chunks by key and are listed in key order;
+    rows without one are dealt evenly over the chunks and listed first.
     Without one, equal places are first counted together and a place with many
     copies is cut up, so copies cannot pile up in one chunk; points are then
     listed by coordinates.
@@ -44,11 +53,11 @@ def cluster_lists(
     if chunk_rows < 1:
         raise ValueError("chunk_rows must be at least 1")
     assigned = assigned.filter(F.col("cluster_id").isNotNull())
-    chunks = _chunks_per_cluster(assigned, chunk_rows)
     if key:
-        items = assigned.select(
+        dealt = F.pmod(F.xxhash64("latitude", "longitude", F.monotonically_increasing_id()), F.col("_chunks"))
+        items = _with_chunks(assigned, chunk_rows, sizes).select(
             "cluster_id",
-            _bucket(F.col(key), chunks).alias("chunk"),
+            F.coalesce(_bucket(F.col(key), F.col("_chunks")), dealt).alias("chunk"),
             F.struct(F.col(key).alias("key"), "latitude", "longitude").alias("item"),
         )
         grouped = items.groupBy("cluster_id", "chunk").agg(
@@ -57,11 +66,16 @@ def cluster_lists(
     else:
         # Copies travel in pieces well below a chunk, so that chunks come out even.
         piece_rows = -(-chunk_rows // PIECES_PER_CHUNK)
+        copies = assigned.groupBy("cluster_id", "latitude", "longitude").agg(
+            F.count(F.lit(1)).alias("copies")
+        )
+        if sizes is None:
+            sizes = copies.groupBy("cluster_id").agg(F.sum("copies").alias("n_points"))
         pieces = (
-            assigned.groupBy("cluster_id", "latitude", "longitude")
-            .agg(F.count(F.lit(1)).alias("copies"))
+            _with_chunks(copies, chunk_rows, sizes)
             .select(
                 "cluster_id",
+                "_chunks",
                 "latitude",
                 "longitude",
                 "copies",
@@ -71,7 +85,7 @@ def cluster_lists(
             )
             .select(
                 "cluster_id",
-                F.pmod(F.xxhash64("latitude", "longitude", "piece"), chunks).alias("chunk"),
+                F.pmod(F.xxhash64("latitude", "longitude", "piece"), F.col("_chunks")).alias("chunk"),
                 F.struct(
                     "latitude",
                     "longitude",

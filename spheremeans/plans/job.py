@@ -35,9 +35,10 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
         "--sink", choices=["assignments", "flat", "csv", "text"], default="assignments"
     )
     parser.add_argument("--tolerance-km", type=float, default=DEFAULT_TOLERANCE_KM)
-    parser.add_argument("--max-iter", type=int, default=100)
+    parser.add_argument("--max-iter", type=int, default=100, help="0: no limit")
+    parser.add_argument("--allow-unconverged", action="store_true")
     parser.add_argument("--seed", type=int, default=1)
-    parser.add_argument("--cache", choices=["none", "memory", "table"], default="memory")
+    parser.add_argument("--cache", choices=["none", "memory", "table", "tiles"], default="memory")
     parser.add_argument("--chunk-rows", type=int, default=DEFAULT_CHUNK_ROWS)
     args = parser.parse_args(argv)
     if args.k < 1:
@@ -48,14 +49,18 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, argv: Sequence[str] | None = None) -> Model:
-    """Read, cluster and write; returns the fitted model."""
+    """Read, cluster and write; returns the fitted model.
+
+    Besides the clusters in OUTPUT come OUTPUT-centroids and OUTPUT-history, as parquet. A
+    table written for the passes is deleted at the end.
+    """
     args = _arguments(argv)
     model = fit(
         READERS[args.format](spark, args.input),
         args.k,
         metric=args.metric,
         tol_km=args.tolerance_km,
-        max_iter=args.max_iter,
+        max_iter=args.max_iter or None,
         seed=args.seed,
         cache=args.cache,
     )
@@ -66,16 +71,25 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> Model:
         sinks.write_assignments(assigned, args.output, layout="flat")
     else:
         write = sinks.write_cluster_csv if args.sink == "csv" else sinks.write_cluster_text
-        write(cluster_lists(assigned, chunk_rows=args.chunk_rows), args.output)
+        sizes = model.history().where(f"iteration = {model.iterations}").select("cluster_id", "n_points")
+        write(cluster_lists(assigned, chunk_rows=args.chunk_rows, sizes=sizes), args.output)
+    base = args.output.rstrip("/")
+    model.centroid_table().write.parquet(f"{base}-centroids")
+    model.history().write.parquet(f"{base}-history")
+    if model.table_path:
+        path = spark._jvm.org.apache.hadoop.fs.Path(model.table_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return model
 
 
 def main() -> None:
     spark = SparkSession.builder.appName("spheremeans").getOrCreate()
     try:
-        run(spark, sys.argv[1:])
+        model = run(spark, sys.argv[1:])
     finally:
         spark.stop()
+    if not model.converged and "--allow-unconverged" not in sys.argv:
+        sys.exit(f"not converged after {model.iterations} iterations; the last state was written")
 
 
 if __name__ == "__main__":

@@ -8,11 +8,13 @@ constants, so the plan never grows.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from spheremeans.config import new_path
 from spheremeans.functions.geo import METRICS, distance_km, is_located
@@ -29,11 +31,14 @@ from spheremeans.plans import tiles
 # Fixed value: both jobs stop at a total movement of one kilometre.
 DEFAULT_TOLERANCE_KM = 1.0
 
+# Old places of up to so many centroids enter a pass as constants, those of more as a small table.
+MOST_CONSTANTS = 64
+
 PLACE = ("latitude", "longitude")
 CENTROID_SCHEMA = "cluster_id int, latitude double, longitude double"
 HISTORY_SCHEMA = (
     "iteration int, cluster_id int, latitude double, longitude double, "
-    "n_points bigint, displacement_km double"
+    "n_points bigint, displacement_km double, seconds double"
 )
 
 
@@ -109,6 +114,13 @@ def _finisher(metric: str, float32: bool) -> Callable[[DataFrame, Centroids], Da
     columns = ["cluster_id", "n_points", *PLACE, moved.alias("displacement_km")]
 
     def finish(means: DataFrame, pairs: Centroids) -> DataFrame:
+        if len(pairs) > MOST_CONSTANTS:
+            rows = [(i, lat, lon) for i, (lat, lon) in enumerate(pairs)]
+            old = means.sparkSession.createDataFrame(rows, "_id int, old_latitude double, old_longitude double")
+            means = means.join(F.broadcast(old), means["cluster_id"] == old["_id"], "left")
+            if float32:
+                means = means.withColumns({c: F.col(c).cast("float").cast("double") for c in PLACE})
+            return means.select(*columns)
         mean = "CAST(CAST({0} AS FLOAT) AS DOUBLE) AS {0}" if float32 else "{0}"
         looked_up = [
             f"get(array({', '.join(f'{p[axis]!r}D' for p in pairs)}), cluster_id) AS old_{name}"
@@ -127,7 +139,7 @@ def fit(
     *,
     metric: str = "euclidean",
     tol_km: float = DEFAULT_TOLERANCE_KM,
-    max_iter: int = 100,
+    max_iter: int | None = 100,
     seed: int | None = 1,
     key: str | None = None,
     init: DataFrame | Centroids | None = None,
@@ -138,7 +150,7 @@ def fit(
 
     Labels always follow chord distance; ``metric`` only measures how far the
     centroids moved. The loop ends when that total is at most ``tol_km`` or after
-    ``max_iter`` passes. A cluster left empty keeps its centroid.
+    ``max_iter`` passes (None: no limit). A cluster left empty keeps its centroid.
 
     ``cache`` says what the passes read: ``"none"`` the source itself, best for
     columnar files; ``"memory"`` cached coordinates, spilling to disk;
@@ -152,7 +164,7 @@ def fit(
         raise ValueError(f"unknown metric {metric!r}, expected one of {sorted(METRICS)}")
     if cache not in ("none", "memory", "table", "tiles"):
         raise ValueError(f"unknown cache {cache!r}")
-    if max_iter < 1:
+    if max_iter is not None and max_iter < 1:
         raise ValueError("max_iter must be at least 1")
     spark = points.sparkSession
 
@@ -167,6 +179,9 @@ def fit(
         tiled = tiles.read_tiles(spark, table_path, points)
         points = tiled.select(*points.columns)
 
+    if cache == "memory":  # before the seeds are drawn, so the source is read once
+        reused = points.select(*dict.fromkeys([*PLACE, *([key] if key else [])]))
+        reused = reused.persist(StorageLevel.MEMORY_AND_DISK)
     if init is not None:
         centroids = centroid_list(init)
         if k is not None and k != len(centroids):
@@ -174,19 +189,17 @@ def fit(
     elif k is None:
         raise ValueError("either k or init is needed")
     else:
-        centroids = sample_seeds(points, k, seed, key)
+        centroids = sample_seeds(reused if cache == "memory" else points, k, seed, key)
 
     if cache == "tiles":
-        reused = tiles.summarise(tiled)
-    else:
-        reused = points.select(*PLACE)
-    if cache in ("memory", "tiles"):
-        reused = reused.persist(StorageLevel.MEMORY_AND_DISK)
+        reused = tiles.summarise(tiled).persist(StorageLevel.MEMORY_AND_DISK)
+    elif cache != "memory":
+        reused = points
     try:
         if cache == "tiles":
             run = tiles.tiled_pass(tiled, reused, _finisher(metric, float32_centroids))
         else:
-            build = _full_pass(reused, metric, float32_centroids)
+            build = _full_pass(reused.select(*PLACE), metric, float32_centroids)
 
             def run(pairs: Centroids) -> list[Row]:
                 return build(pairs).collect()
@@ -202,17 +215,19 @@ def _loop(
     run: Callable[[Centroids], list[Row]],
     centroids: list[tuple[float, float]],
     tol_km: float,
-    max_iter: int,
+    max_iter: int | None,
 ) -> dict:
     records: list[tuple] = [
-        (0, i, lat, lon, None, None) for i, (lat, lon) in enumerate(centroids)
+        (0, i, lat, lon, None, None, None) for i, (lat, lon) in enumerate(centroids)
     ]
     previous, moved, iteration, n_unlocated = centroids, float("inf"), 0, 0
-    while moved > tol_km and iteration < max_iter:
+    while moved > tol_km and (max_iter is None or iteration < max_iter):
         iteration += 1
+        began = time.perf_counter()
         previous = centroids
         found = {r["cluster_id"]: r for r in run(previous)}
         n_unlocated = found[None]["n_points"] if None in found else 0
+        seconds = time.perf_counter() - began
         centroids, moved = list(previous), 0.0
         for i, (lat, lon) in enumerate(previous):
             r = found.get(i)
@@ -221,7 +236,7 @@ def _loop(
                 lat, lon = r["latitude"], r["longitude"]
             centroids[i] = (lat, lon)
             moved += km
-            records.append((iteration, i, lat, lon, n, km))
+            records.append((iteration, i, lat, lon, n, km, seconds))
     return {
         "centroids": centroids,
         "labelling_centroids": previous,

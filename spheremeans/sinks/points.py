@@ -38,18 +38,19 @@ def list_text(values: Column | str) -> Column:
 
 
 def write_cluster_csv(lists: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """``closest_centroid|lat_list|long_list``, one line per cluster chunk."""
-    lists.select(
+    """``closest_centroid|lat_list|long_list|chunk``, a line per cluster chunk, in order over the files."""
+    lists.orderBy("cluster_id", "chunk").select(
         F.col("cluster_id").alias("closest_centroid"),
         list_text("lat_list").alias("lat_list"),
         list_text("long_list").alias("long_list"),
-    ).sortWithinPartitions("closest_centroid").write.mode(mode).options(
+        "chunk",
+    ).write.mode(mode).options(
         header=True, sep="|", maxCharsPerColumn=-1
     ).csv(path)
 
 
 def write_cluster_text(lists: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One ``Row(closest_centroid=…, lat_list=[…], long_list=[…])`` line per chunk."""
+    """One ``Row(closest_centroid=…, lat_list=[…], long_list=[…], chunk=…)`` line per chunk, in order."""
     line = F.concat(
         F.lit("Row(closest_centroid="),
         F.col("cluster_id").cast("string"),
@@ -57,6 +58,8 @@ def write_cluster_text(lists: DataFrame, path: str, mode: str = "errorifexists")
         list_text("lat_list"),
         F.lit(", long_list="),
         list_text("long_list"),
+        F.lit(", chunk="),
+        F.col("chunk").cast("string"),
         F.lit(")"),
     )
-    lists.sortWithinPartitions("cluster_id").select(line.alias("value")).write.mode(mode).text(path)
+    lists.orderBy("cluster_id", "chunk").select(line.alias("value")).write.mode(mode).text(path)

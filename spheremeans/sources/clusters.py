@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from spheremeans.operators.clusters import cluster_points
 
-# Fixed value: the layout of a saved cluster line, brackets around each list.
-SAVED_LINE = r"closest_centroid=(\d+), lat_list=\[([^\]]*)\], long_list=\[([^\]]*)\]"
+# Fixed value: the layout of a saved cluster line, brackets around each list. Ours number
+# the chunks of a cluster at the end; other lines are whole clusters.
+SAVED_LINE = r"closest_centroid=(\d+), lat_list=\[([^\]]*)\], long_list=\[([^\]]*)\](?:, chunk=(\d+))?"
 
 
 def _numbers(inner: Column) -> Column:
@@ -20,25 +21,27 @@ def _numbers(inner: Column) -> Column:
 
 
 def read_cluster_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``cluster_id, lat_list, long_list`` from saved lines, any number of digits."""
+    """``cluster_id, chunk, lat_list, long_list`` from saved lines; chunk is null if a line has none."""
     lines = spark.read.option("lineSep", "\n").text(path)
-    found = [F.regexp_extract("value", SAVED_LINE, i) for i in (1, 2, 3)]
+    found = [F.regexp_extract("value", SAVED_LINE, i) for i in (1, 2, 3, 4)]
     return lines.filter(F.col("value").rlike(SAVED_LINE)).select(
         found[0].cast("int").alias("cluster_id"),
+        found[3].try_cast("bigint").alias("chunk"),
         _numbers(found[1]).alias("lat_list"),
         _numbers(found[2]).alias("long_list"),
     )
 
 
 def read_cluster_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``cluster_id, lat_list, long_list`` from the list CSV."""
+    """``cluster_id, chunk, lat_list, long_list`` from the list CSV; chunk is null without the column."""
     raw = (
-        spark.read.schema("closest_centroid int, lat_list string, long_list string")
+        spark.read.schema("closest_centroid int, lat_list string, long_list string, chunk bigint")
         .options(header=True, sep="|", maxCharsPerColumn=-1)
         .csv(path)
     )
     return raw.select(
         F.col("closest_centroid").alias("cluster_id"),
+        "chunk",
         _numbers(F.col("lat_list")).alias("lat_list"),
         _numbers(F.col("long_list")).alias("long_list"),
     )

@@ -73,11 +73,11 @@ def test_list_formats(spark, tmp_path):
     sinks.write_cluster_text(lists, str(tmp_path / "t"))
     sinks.write_cluster_csv(lists, str(tmp_path / "c"))
     [text] = [open(f).read() for f in glob.glob(str(tmp_path / "t/part-*"))]
-    row = Row(closest_centroid=12, lat_list=["33.6", "-1.25"], long_list=["2.5", "100.0"])
+    row = Row(closest_centroid=12, lat_list=["33.6", "-1.25"], long_list=["2.5", "100.0"], chunk=0)
     assert text == f"{row!r}\n"
     [csv] = [open(f).read() for f in glob.glob(str(tmp_path / "c/part-*")) if open(f).read()]
     assert csv == (
-        "closest_centroid|lat_list|long_list\n12|['33.6', '-1.25']|['2.5', '100.0']\n"
+        "closest_centroid|lat_list|long_list|chunk\n12|['33.6', '-1.25']|['2.5', '100.0']|0\n"
     )
 
 
@@ -88,7 +88,7 @@ def test_lines_saved_from_text_coordinates(spark, tmp_path):
         "not a cluster\n"
     )
     got = saved.read_cluster_text(spark, str(tmp_path / "a")).orderBy("cluster_id").collect()
-    assert [tuple(r) for r in got] == [(3, [33.6, -1.0], [2.5, 100.0]), (11, [], [])]
+    assert [tuple(r) for r in got] == [(3, None, [33.6, -1.0], [2.5, 100.0]), (11, None, [], [])]
 
 
 @pytest.mark.parametrize("layout", ["partitioned", "flat"])
