@@ -104,11 +104,13 @@ class GatedModel:
         """
         p, cls = self.p, self.class_of(y)
         rows = np.arange(len(y))
-        logits = states @ p["cw"] + p["cb"]
+        logits = states @ p["cw"]
+        logits += p["cb"]
         logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
+        out = logits[rows, cls]
+        e = np.exp(logits, out=logits)
         total = e.sum(axis=1)
-        out = logits[rows, cls] - np.log(total)
+        out = out - np.log(total)
         back = None
         if gradients is not None:
             d = e / total[:, None]
@@ -123,13 +125,15 @@ class GatedModel:
             if not len(these):
                 continue
             span = slice(c * CLASS_SIZE, (c + 1) * CLASS_SIZE)
-            own = states[these] @ p["ow"][span].T + p["ob"][span]
+            own = states[these] @ p["ow"][span].T
+            own += p["ob"][span]
             own -= own.max(axis=1, keepdims=True)
-            e = np.exp(own)
-            total = e.sum(axis=1)
             at = y[these] - c * CLASS_SIZE
             k = np.arange(len(these))
-            out[these] += own[k, at] - np.log(total)
+            chosen = own[k, at]
+            e = np.exp(own, out=own)
+            total = e.sum(axis=1)
+            out[these] += chosen - np.log(total)
             if gradients is not None:
                 d = e / total[:, None]
                 d[k, at] -= 1
@@ -393,6 +397,25 @@ def _score(batches, model, head, head_token, table_words, table_counts, shape_un
             )
 
 
+def frequent_words(counts: DataFrame, most: int) -> list[tuple[int, int, int]]:
+    """(word, shape, n) of the most frequent words, at most ``most``, by falling count.
+
+    Counts fall into steps of a sixteenth of a power of e, some hundreds in all; the words of
+    the highest steps that fit are taken. So tasks send no more than what is kept.
+    """
+    step = F.floor(F.log("n") * 16).cast("int")
+    levels = sorted((r[0], r[1]) for r in counts.groupBy(step.alias("level")).count().collect())
+    held, least = 0, None
+    for level, n in reversed(levels):
+        if held + n > most:
+            break
+        held, least = held + n, level
+    if least is None:
+        return []
+    rows = counts.where(step >= least).select("word", "shape", "n").collect()  # ``most`` rows
+    return sorted((tuple(r) for r in rows), key=lambda r: (-r[2], r[0]))
+
+
 def score_texts(docs: DataFrame, parts: int = 5, held_out: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: a row for each row of ``docs``.
 
@@ -412,10 +435,9 @@ def score_texts(docs: DataFrame, parts: int = 5, held_out: int = 1) -> DataFrame
 
     totals = counts.agg(F.sum("n"), F.count("*")).first()
     tokens_n, types_n = int(totals[0] or 0), int(totals[1] or 0)
-    top = counts.orderBy(F.desc("n"), "word").limit(TABLE).collect()  # TABLE rows
     end = int(END)
-    frequent = [(w, s, n) for w, s, n in top if w != end]
-    ends = next((n for w, _, n in top if w == end), 0) or (counts.where(F.col("word") == end).agg(F.sum("n")).first()[0] or 0)
+    ends = counts.where(F.col("word") == end).agg(F.sum("n")).first()[0] or 0
+    frequent = frequent_words(counts.where(F.col("word") != end), TABLE)
     heads = sorted([(end, -1, ends), *frequent[: HEAD - 1]], key=lambda r: (-r[2], r[0]))
     by_hash = lambda pairs, kind: [
         np.array(x) for x in zip(*sorted((np.int64(w).astype(np.uint64), kind(v)) for w, v in pairs), strict=True)
