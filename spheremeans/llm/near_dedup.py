@@ -18,9 +18,9 @@ Links are found without expanding groups of copies:
 2. Nodes meet in buckets of equal bands. Every bucket has a hub, its node with most company,
    and each node is verified against the hub it shares most bands with: one pair for a node.
 3. What is still apart within a bucket after joining verified links is compared register by
-   register inside the task, in blocks of bounded size, and only pairs whose estimate comes
-   within four standard errors of the threshold come out. Those between different classes are
-   verified, the likeliest of each two classes first.
+   register inside the task, in blocks of bounded size. Where an estimate comes within four
+   standard errors of the threshold, the two texts meet in a task of the same block and are
+   verified there. Pairs are no rows; only links come out.
 
 Verification recomputes the shingles of both whole texts and their exact similarity.
 """
@@ -213,44 +213,78 @@ def join_classes(comps: DataFrame, links: DataFrame) -> DataFrame:
     return cut(moved.unionAll(alone))
 
 
-def _compare_block(table: pa.Table, m: int, bands: int, least: float) -> pa.Table:
-    """Pairs of different classes in one block whose registers agree often enough."""
-    node = table["node"].combine_chunks()
-    comp = table["comp"].to_numpy()
-    _, comp = np.unique(comp, return_inverse=True)
-    block = table["block"].to_numpy()
-    i, j = table["i"][0].as_py(), table["j"][0].as_py()
-    s = np.frombuffer(b"".join(table["registers"].to_pylist()), dtype=np.uint8).reshape(len(node), m)
-    band, rows = table["band"][0].as_py(), m // bands
-    left = np.flatnonzero(block == i)
-    out_a, out_b, out_n = [], [], []
-    for x in left:
-        rest = np.flatnonzero((comp != comp[x]) & ((block == j) if i != j else (np.arange(len(comp)) > x)))
-        if not len(rest):
-            continue
-        equal = s[rest] == s[x]
-        same = equal.sum(axis=1)
-        # A pair comes out of the first band that it shares, and of no other bucket.
-        earlier = equal[:, : band * rows].reshape(len(rest), band, rows).all(axis=2).any(axis=1)
-        good = (same >= least * m) & ~earlier
-        out_a += [x] * int(good.sum())
-        out_b += rest[good].tolist()
-        out_n += same[good].tolist()
-    return pa.table(
-        {
-            "a": node.take(pa.array(out_a, pa.int64())),
-            "b": node.take(pa.array(out_b, pa.int64())),
-            "agree": pa.array(out_n, pa.int32()),
-        }
-    )
-
-
-def pairs_still_apart(
-    hits: DataFrame, registers: DataFrame, comps: DataFrame, m: int, bands: int, threshold: float, block: int = BLOCK
+class _Block:
+    """The nodes of one bucket, or of two parts of one, and which pairs may reach the threshold."""
+
+    def __init__(self, table: pa.Table, m: int, bands: int, least: float):
+        self.node = table["node"].combine_chunks()
+        _, self.comp = np.unique(table["comp"].to_numpy(), return_inverse=True)
+        self.block = table["block"].to_numpy()
+        self.i, self.j = table["i"][0].as_py(), table["j"][0].as_py()
+        self.band, self.rows = table["band"][0].as_py(), m // bands
+        self.s = np.frombuffer(b"".join(table["registers"].to_pylist()), dtype=np.uint8).reshape(len(self.node), m)
+        self.least = least * m
+
+    def candidates(self):
+        """For each x the others of a different class whose registers agree often enough."""
+        for x in np.flatnonzero(self.block == self.i):
+            second = self.block == self.j if self.i != self.j else np.arange(len(self.comp)) > x
+            rest = np.flatnonzero((self.comp != self.comp[x]) & second)
+            if not len(rest):
+                continue
+            equal = self.s[rest] == self.s[x]
+            # A pair is looked at in the first band that it shares, and in no other bucket.
+            earlier = equal[:, : self.band * self.rows].reshape(len(rest), self.band, self.rows).all(axis=2).any(axis=1)
+            good = rest[(equal.sum(axis=1) >= self.least) & ~earlier]
+            if len(good):
+                yield int(x), good
+
+
+def _with_candidates(table: pa.Table, m: int, bands: int, least: float) -> pa.Table:
+    """The rows of a block that have a candidate in it."""
+    keep = np.zeros(table.num_rows, dtype=bool)
+    for x, others in _Block(table, m, bands, least).candidates():
+        keep[x] = True
+        keep[others] = True
+    return table.filter(pa.array(keep))
+
+
+def _links_in_block(table: pa.Table, m: int, bands: int, least: float, threshold: float, size: int) -> pa.Table:
+    """Verified links that join what is apart; pairs already joined in this block are skipped."""
+    block = _Block(table, m, bands, least)
+    top = np.arange(int(block.comp.max(initial=-1)) + 1)
+    parts = []
+    for chunk in table.select(["text"]).to_batches():
+        for part in text_slices(chunk, "text"):
+            h, d, w = weighted_shingles(part.column("text"), size)
+            cuts = np.searchsorted(d, np.arange(part.num_rows + 1))
+            parts += [(h[a:b], w[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+    out_a, out_b = [], []
+    for x, others in block.candidates():
+        for y in others.tolist():
+            a, b = top[block.comp[x]], top[block.comp[y]]
+            if a != b and probability_jaccard(*parts[x], *parts[y]) >= threshold:
+                top[top == max(a, b)] = min(a, b)
+                out_a.append(x)
+                out_b.append(y)
+    return pa.table({"a": block.node.take(pa.array(out_a, pa.int64())), "b": block.node.take(pa.array(out_b, pa.int64()))})
+
+
+def links_still_missing(
+    hits: DataFrame,
+    registers: DataFrame,
+    texts: DataFrame,
+    comps: DataFrame,
+    m: int,
+    bands: int,
+    threshold: float,
+    size: int = SHINGLE,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """a, b, agree: pairs of different classes that share a bucket and may reach the threshold.
+    """a, b: links between different classes that share a bucket, enough to join them.
 
-    hits: bucket, band, node. Only buckets that hold several classes are looked at.
+    hits: bucket, band, node. Only buckets that hold several classes are looked at, and only
+    texts with a candidate travel. Pairs never leave the task that compares them.
     """
     placed = _with_comp(hits.select("bucket", "band", "node"), "node", comps, "comp")
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
@@ -261,8 +295,12 @@ def pairs_still_apart(
     rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     rows = rows.select("bucket", "band", "i", "j", "block", "node", "comp", "registers")
     least = threshold - 4 * (threshold * (1 - threshold) / m) ** 0.5
-    found = rows.groupBy("bucket", "i", "j").applyInArrow(lambda t: _compare_block(t, m, bands, least), "a binary, b binary, agree int")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "agree")
+    keys = ["bucket", "i", "j"]
+    some = rows.groupBy(*keys).applyInArrow(lambda t: _with_candidates(t, m, bands, least), rows.schema)
+    some = cut(some).join(texts, "node")
+    return some.groupBy(*keys).applyInArrow(
+        lambda t: _links_in_block(t, m, bands, least, threshold, size), "a binary, b binary"
+    )
 
 
 def near_duplicates(
@@ -309,14 +347,8 @@ def near_duplicates(
     texts = cut(texts.select("node", "text").dropDuplicates(["node"]))
 
     comps = components(verify(best, texts, threshold, size))
-    apart = cut(pairs_still_apart(hits, nodes.select("node", "registers"), comps, m, bands, threshold))
-    between = _with_comp(_with_comp(apart, "a", comps, "ca"), "b", comps, "cb")
-    between = between.withColumns({"ca": F.least("ca", "cb"), "cb": F.greatest("ca", "cb")})
-    likeliest = between.groupBy("ca", "cb").agg(F.max(F.struct("agree", "a", "b")).alias("p"))
-    likeliest = likeliest.select(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
-    comps = join_classes(comps, verify(likeliest, texts, threshold, size))
-    left = _with_comp(_with_comp(apart, "a", comps, "ca"), "b", comps, "cb").where("ca <> cb").select("a", "b")
-    comps = join_classes(comps, verify(left, texts, threshold, size))
+    missing = links_still_missing(hits, nodes.select("node", "registers"), texts, comps, m, bands, threshold, size)
+    comps = join_classes(comps, missing)
 
     joined = _with_comp(members.where("node is not null"), "node", comps, "comp")
     classes = joined.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
