@@ -7,8 +7,8 @@ and length. Within such a class a word has its share of the class's training tok
 the share that singletons suggest for words never seen; all unseen words of a class are one token.
 
 Counts cover every training text. The network starts from them and is trained by truncated
-backpropagation in NumPy, on a stretch of every training text: each task trains a copy on its
-texts, the copies are averaged, twice over. Scoring carries the state from window to window
+backpropagation in NumPy, on all tokens of every training text, cut into consecutive stretches:
+each task trains a copy on its stretches, the copies are averaged, twice over. Scoring carries the state from window to window
 through the whole text, many texts side by side.
 """
 
@@ -157,6 +157,7 @@ class GatedModel:
         d_states = np.zeros_like(states)
         d_states[real] = back
         d_gates = np.zeros((*x.shape, 3 * HIDDEN), np.float32)
+        through = np.empty_like(d_gates)
         carry = np.zeros_like(h)
         for t in reversed(range(len(x))):
             z, r, n, from_n, before = kept[t]
@@ -164,13 +165,17 @@ class GatedModel:
             dn = d * (1 - z) * (1 - n * n)
             dz = d * (before - n) * z * (1 - z)
             dr = dn * from_n * r * (1 - r)
-            d_gates[t] = np.hstack([dz, dr, dn])
-            through = np.hstack([dz, dr, dn * r])
-            g["wh"] += before.T @ through
-            carry = d * z + through @ p["wh"].T
+            d_gates[t, :, :HIDDEN] = through[t, :, :HIDDEN] = dz
+            d_gates[t, :, HIDDEN : 2 * HIDDEN] = through[t, :, HIDDEN : 2 * HIDDEN] = dr
+            d_gates[t, :, 2 * HIDDEN :] = dn
+            through[t, :, 2 * HIDDEN :] = dn * r
+            carry = d * z + through[t] @ p["wh"].T
+        g["wh"] += np.concatenate([k[4] for k in kept]).T @ through.reshape(-1, 3 * HIDDEN)
         flat = d_gates.reshape(-1, 3 * HIDDEN)
         per_token = np.zeros((len(table), 3 * HIDDEN), np.float32)
-        np.add.at(per_token, x.ravel(), flat)
+        order = np.argsort(x, axis=None, kind="stable")
+        names, first = np.unique(x.ravel()[order], return_index=True)
+        per_token[names] = np.add.reduceat(flat[order], first)
         g["b"] += flat.sum(axis=0)
         g["wx"] += p["emb"].T @ per_token
         g["emb"] += per_token @ p["wx"].T
@@ -310,21 +315,21 @@ def _count(batches, most: int = 1 << 20):
 
 
 def _stretches(batches, head, head_token):
-    size = WINDOW * STRETCH
+    """Every text cut into consecutive stretches: a row repeats the last token of the one before, or the end."""
+    size, most = WINDOW * STRETCH, 4096
+    end_token = int(head_token.value[np.searchsorted(head.value, END)])
     for batch in batches:
         for part in text_slices(batch, "text"):
-            tokens, begins, h, _, doc = _sequences(part.column("text"), head.value, head_token.value)
-            rows = []
-            sums = np.bincount(doc, weights=(h >> np.uint64(40)).astype(np.float64), minlength=part.num_rows)
-            for i in range(part.num_rows):
-                own = tokens[begins[i] : begins[i + 1]]
-                own = np.concatenate([own[-1:], own])  # the end of a text stands before the next
-                at = int(sums[i]) % max(1, len(own) - size)
-                row = np.full(size + 1, -1, dtype="<i2")
-                these = own[at : at + size + 1]
-                row[: len(these)] = these
-                rows.append(row.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["tokens"])
+            tokens, begins, *_ = _sequences(part.column("text"), head.value, head_token.value)
+            counts = -(-np.diff(begins) // size)  # every text has its end at least
+            doc = np.repeat(np.arange(part.num_rows), counts)
+            nth = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
+            for i in range(0, len(doc), most):
+                own, at = doc[i : i + most], nth[i : i + most]
+                where = (begins[own] + at * size - 1)[:, None] + np.arange(size + 1)
+                rows = np.where(where < begins[own + 1][:, None], tokens[np.minimum(where, len(tokens) - 1)], -1).astype("<i2")
+                rows[at == 0, 0] = end_token  # the end of a text stands before the next
+                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary())], names=["tokens"])
 
 
 def _train(batches, model, groups: int):

@@ -477,6 +477,22 @@ def test_frequent_words(spark):
     assert lm.frequent_words(counts.where("n = 1"), 0) == [] and lm.frequent_words(counts.limit(0), 5) == []
 
 
+class Sent:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_training_stretches_hold_every_token():
+    texts = pa.array(["a " * 200, None, "b a " * 32, "b " * 63])
+    hashes = [int(h) for h in words_of(pa.array(["a b"])).hashes()] + [int(lm.END)]
+    head, token = (Sent(np.array(x)) for x in zip(*sorted(zip(np.array(hashes, np.uint64), (1, 2, 0), strict=True)), strict=True))
+    out = lm._stretches([pa.RecordBatch.from_arrays([texts], names=["text"])], head, token)
+    rows = np.stack([np.frombuffer(r, "<i2") for b in out for r in b.column("tokens").to_pylist()])
+    assert rows.shape == (4 + 1 + 2 + 1, lm.WINDOW * lm.STRETCH + 1)
+    assert [int(t) for r in rows for t in r[1:] if t >= 0] == [1] * 200 + [0] + [0] + [2, 1] * 32 + [0] + [2] * 63 + [0]
+    assert rows[:, 0].tolist() == [0, 1, 1, 1, 0, 0, 1, 0]
+
+
 def test_language_model_of_odd_rows(documents, odd_rows):
     got = lm.score_texts(documents(odd_rows)).toPandas()
     assert len(got) == len(odd_rows) and np.isfinite(got.score).all() and np.isfinite(got.base_score).all()
