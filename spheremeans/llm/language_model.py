@@ -8,7 +8,8 @@ the share that singletons suggest for words never seen; all unseen words of a cl
 
 Counts cover every training text. The network starts from them and is trained by truncated
 backpropagation in NumPy, on all tokens of every training text, cut into consecutive stretches:
-each task trains a copy on its stretches, the copies are averaged, twice over. Scoring carries the state from window to window
+copies are trained on ``TRAINER_ROWS`` stretches each, dealt by hash, and averaged, over rounds
+that grow in number with the stretches. How files are cut does not matter. Scoring carries the state from window to window
 through the whole text, many texts side by side.
 """
 
@@ -32,8 +33,10 @@ TABLE = 131072  # most frequent words whose counts go to every task
 EMBED, HIDDEN = 16, 32
 WINDOW, STRETCH = 32, 2  # a training stretch is so many windows of so many tokens
 LANES, BATCH = 160, 64
-ROUNDS, EPOCHS, RATE = 2, 1, 0.015
-MOST_TRAINERS = 1024
+ROUNDS, EPOCHS, RATE = 2, 1, 0.015  # ROUNDS: the least there are
+TRAINER_ROWS = 4096  # stretches that one copy is trained on in a round
+MOST_PARTITIONS = 16384  # of a round; a task then trains several copies in turn
+AVERAGED = 32  # copies that one task averages, and that come to the driver
 END = np.uint64(0x5EED0E4D)  # stands for the end of a text among word hashes
 
 
@@ -321,6 +324,13 @@ def _stretches(batches, head, head_token):
     for batch in batches:
         for part in text_slices(batch, "text"):
             tokens, begins, *_ = _sequences(part.column("text"), head.value, head_token.value)
+            copies: dict[tuple, int] = {}  # tells equal rows apart, so that many do not all go to one place
+            ids = part.column("doc_id")
+            copy = []
+            for key in zip(ids.to_pylist(), part.column("text").to_pylist(), strict=True):
+                copies[key] = copies.get(key, -1) + 1
+                copy.append(copies[key])
+            copy = np.array(copy)
             counts = -(-np.diff(begins) // size)  # every text has its end at least
             doc = np.repeat(np.arange(part.num_rows), counts)
             nth = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -329,32 +339,78 @@ def _stretches(batches, head, head_token):
                 where = (begins[own] + at * size - 1)[:, None] + np.arange(size + 1)
                 rows = np.where(where < begins[own + 1][:, None], tokens[np.minimum(where, len(tokens) - 1)], -1).astype("<i2")
                 rows[at == 0, 0] = end_token  # the end of a text stands before the next
-                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary())], names=["tokens"])
-
-
-def _train(batches, model, groups: int):
-    from pyspark import TaskContext
-
-    rows = sorted(r for batch in batches for r in batch.column("tokens").to_pylist())
-    if rows:
-        stretches = np.frombuffer(b"".join(rows), dtype="<i2").reshape(len(rows), -1).astype(np.int64)
-        base = model.value
-        trained = GatedModel({k: v.copy() for k, v in base.p.items()}).train(stretches)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([TaskContext.get().partitionId() % groups], pa.int32()),
-                pa.array([float(len(rows))]),
-                pa.array([trained.to_bytes()], pa.binary()),
-            ],
-            names=["part", "weight", "arrays"],
-        )
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(own)), pa.array(at), pa.array(copy[own]), pa.array([r.tobytes() for r in rows], pa.binary())],
+                    names=["doc_id", "nth", "copy", "tokens"],
+                )
+
+
+def training_plan(rows: int) -> tuple[int, int, int]:
+    """Rounds, shares that the rows are dealt to, and trainers a share, for so many stretches.
+
+    Round r trains on share r modulo the shares. There are no fewer rounds than shares, so every
+    row is trained on; a trainer holds about TRAINER_ROWS rows, or all if they are fewer.
+    """
+    units = max(1, round(rows / TRAINER_ROWS))
+    rounds = ROUNDS + units.bit_length() - 1
+    shares = min(rounds, units)
+    return rounds, shares, max(1, round(units / shares))
+
+
+def _train(table: pa.Table, model) -> pa.Table:
+    rows = sorted(table["tokens"].to_pylist())
+    stretches = np.frombuffer(b"".join(rows), dtype="<i2").reshape(len(rows), -1).astype(np.int64)
+    base = model.value
+    trained = GatedModel({k: v.copy() for k, v in base.p.items()}).train(stretches)
+    return pa.table(
+        {
+            "trainer": table["trainer"].slice(0, 1),
+            "weight": pa.array([float(len(rows))]),
+            "arrays": pa.array([trained.to_bytes()], pa.binary()),
+        }
+    )
+
+
+def _trainer(model):
+    return lambda table: _train(table, model)
+
+
+def _mean(models: list[tuple[float, bytes]]) -> tuple[float, bytes]:
+    models = sorted(models)  # they come in any order
+    weight = sum(w for w, _ in models)
+    total = sum(w * np.frombuffer(a, dtype="<f4").astype(np.float64) for w, a in models)
+    return weight, (total / weight).astype("<f4").tobytes()
 
 
 def _average(table: pa.Table) -> pa.Table:
-    weights = table["weight"].to_numpy()
-    total = sum(w * np.frombuffer(a, dtype="<f4").astype(np.float64) for w, a in zip(weights, table["arrays"].to_pylist(), strict=True))
-    mean = (total / weights.sum()).astype("<f4").tobytes()
-    return pa.table({"weight": [float(weights.sum())], "arrays": pa.array([mean], pa.binary())})
+    weight, arrays = _mean(list(zip(table["weight"].to_pylist(), table["arrays"].to_pylist(), strict=True)))
+    return pa.table({"trainer": table["trainer"].slice(0, 1), "weight": [weight], "arrays": pa.array([arrays], pa.binary())})
+
+
+def train_in_rounds(model: GatedModel, stretches: DataFrame) -> GatedModel:
+    """``model`` trained on all rows of ``stretches`` (doc_id, nth, copy, tokens)."""
+    send = stretches.sparkSession.sparkContext.broadcast
+    rounds, shares, trainers = training_plan(stretches.count())
+    schema = "trainer int, weight double, arrays binary"
+    place = F.xxhash64("doc_id", "nth", "copy", "tokens")
+    dealt = stretches.select(
+        F.pmod(place, F.lit(shares)).cast("int").alias("share"),
+        F.pmod(F.xxhash64(place, F.lit(7)), F.lit(trainers)).cast("int").alias("trainer"),
+        "tokens",
+    )
+    for r in range(rounds):
+        own = dealt.where(F.col("share") == r % shares).select("trainer", "tokens")
+        # More partitions than trainers, so that few hold two.
+        own = own.repartition(min(2 * trainers, MOST_PARTITIONS), "trainer")
+        means = own.groupBy("trainer").applyInArrow(_trainer(send(model)), schema)
+        width = trainers
+        while width > AVERAGED:
+            width = -(-width // AVERAGED)
+            means = means.withColumn("trainer", F.pmod("trainer", F.lit(width))).groupBy("trainer").applyInArrow(_average, schema)
+        found = [(m["weight"], bytes(m["arrays"])) for m in means.collect()]  # AVERAGED models at most
+        if found:
+            model = model.like(np.frombuffer(_mean(found)[1], dtype="<f4"))
+    return model
 
 
 def _score(batches, model, head, head_token, table_words, table_counts, shape_unseen, shape_mass, tokens_n, types_n):
@@ -465,17 +521,9 @@ def score_texts(docs: DataFrame, parts: int = 5, held_out: int = 1) -> DataFrame
 
     send = spark.sparkContext.broadcast
     head_b, token_b = send(head), send(head_token)  # HEAD entries
-    stretches = cut(training.mapInArrow(partial(_stretches, head=head_b, head_token=token_b), "tokens binary"))
-    trainers = max(1, min(MOST_TRAINERS, stretches.rdd.getNumPartitions()))
-    groups = max(1, round(trainers**0.5))
-    dealt = stretches.coalesce(trainers)
-    for _ in range(ROUNDS):
-        trained = dealt.mapInArrow(partial(_train, model=send(model), groups=groups), "part int, weight double, arrays binary")
-        means = trained.groupBy("part").applyInArrow(_average, "weight double, arrays binary").collect()  # <= 32 models
-        if means:
-            means.sort(key=lambda r: bytes(r[1]))
-            total = sum(w for w, _ in means)
-            model = model.like(sum(w / total * np.frombuffer(a, dtype="<f4").astype(np.float64) for w, a in means))
+    texts = rows.where("not held_out").select("doc_id", "text")
+    cuts = texts.mapInArrow(partial(_stretches, head=head_b, head_token=token_b), "doc_id long, nth long, copy long, tokens binary")
+    model = train_in_rounds(model, cut(cuts))
 
     work = partial(
         _score, model=send(model), head=head_b, head_token=token_b, table_words=send(known), table_counts=send(known_counts),

@@ -486,13 +486,31 @@ def test_training_stretches_hold_every_token():
     texts = pa.array(["a " * 200, None, "b a " * 32, "b " * 63])
     hashes = [int(h) for h in words_of(pa.array(["a b"])).hashes()] + [int(lm.END)]
     head, token = (Sent(np.array(x)) for x in zip(*sorted(zip(np.array(hashes, np.uint64), (1, 2, 0), strict=True)), strict=True))
-    out = lm._stretches([pa.RecordBatch.from_arrays([texts], names=["text"])], head, token)
+    out = lm._stretches([pa.RecordBatch.from_arrays([pa.array([1, 2, None, 3]), texts], names=["doc_id", "text"])], head, token)
     rows = np.stack([np.frombuffer(r, "<i2") for b in out for r in b.column("tokens").to_pylist()])
     assert rows.shape == (4 + 1 + 2 + 1, lm.WINDOW * lm.STRETCH + 1)
     assert [int(t) for r in rows for t in r[1:] if t >= 0] == [1] * 200 + [0] + [0] + [2, 1] * 32 + [0] + [2] * 63 + [0]
     assert rows[:, 0].tolist() == [0, 1, 1, 1, 0, 0, 1, 0]
 
 
+def test_training_grows_with_the_stretches():
+    before = 0
+    for rows in (0, 1, 5000, 100_000, 2_000_000, 10**12):
+        rounds, shares, trainers = lm.training_plan(rows)
+        assert rounds >= max(before, shares)
+        assert rows < lm.TRAINER_ROWS or 0.6 < rows / shares / trainers / lm.TRAINER_ROWS < 1.5
+        before = rounds
+    assert before > 20
+
+
+def test_training_does_not_depend_on_files(documents, monkeypatch):
+    rng = random.Random(4)
+    docs = documents([(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(300)))) for i in range(150)])
+    monkeypatch.setattr(lm, "TRAINER_ROWS", 100)
+    few, many = (lm.score_texts(docs.repartition(n)).toPandas().sort_values("doc_id") for n in (1, 9))
+    np.testing.assert_allclose(few.score, many.score, rtol=1e-5)
+
+
 def test_language_model_of_odd_rows(documents, odd_rows):
     got = lm.score_texts(documents(odd_rows)).toPandas()
     assert len(got) == len(odd_rows) and np.isfinite(got.score).all() and np.isfinite(got.base_score).all()
