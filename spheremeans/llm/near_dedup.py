@@ -31,10 +31,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import cut, text_slices
+from .common import WORD_PATTERN, cut, text_slices
 from .words import mix, shingle_hashes, words_of
 
 SHINGLE = 5
@@ -303,19 +304,8 @@ def links_still_missing(
     )
 
 
-def near_duplicates(
-    docs: DataFrame,
-    threshold: float = THRESHOLD,
-    size: int = SHINGLE,
-    rows: int = ROWS,
-    bands: int = BANDS,
-) -> DataFrame:
-    """doc_id, class_id, class_size: one row for each row of ``docs`` (doc_id, text).
-
-    class_id is the smallest doc_id of the class. Texts without words (null, empty) are alike to
-    nothing: each is a class of its own. A null id belongs to its text's class, and is
-    itself null where the class has no other. Repeated rows count as rows.
-    """
+def _members(docs: DataFrame, threshold: float, size: int, rows: int, bands: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, node, comp of each row with words, and doc_id, node of all rows (a null node without words)."""
     m = rows * bands
     narrow = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     sketched = cut(
@@ -350,16 +340,49 @@ def near_duplicates(
     missing = links_still_missing(hits, nodes.select("node", "registers"), texts, comps, m, bands, threshold, size)
     comps = join_classes(comps, missing)
 
-    joined = _with_comp(members.where("node is not null"), "node", comps, "comp")
+    return _with_comp(members.where("node is not null"), "node", comps, "comp"), members
+
+
+def near_duplicates(
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    size: int = SHINGLE,
+    rows: int = ROWS,
+    bands: int = BANDS,
+) -> DataFrame:
+    """doc_id, class_id, class_size: one row for each row of ``docs`` (doc_id, text).
+
+    class_id is the smallest doc_id of the class. Texts without words (null, empty) are alike to
+    nothing: each is a class of its own. A null id belongs to its text's class, and is
+    itself null where the class has no other. Repeated rows count as rows.
+    """
+    joined, members = _members(docs, threshold, size, rows, bands)
     classes = joined.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     alone = members.where("node is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     return joined.join(classes, "comp").select("doc_id", "class_id", "class_size").unionAll(alone)
 
 
+def _with_node(batches):
+    for batch in batches:
+        for part in text_slices(batch, "text"):
+            words = words_of(part.column("text"))
+            nodes = pa.array(_node(words, words.hashes()), pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns, nodes], names=[*part.schema.names, "_node"])
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with the row of the smallest id of each class; rows that repeat an id are one."""
+    """``docs`` with one row of each class, that of the smallest id; ids may repeat or be null.
+
+    A class without any id keeps one row too, and every row without words stays. Of rows with
+    the same id and words the first in column order stays.
+    """
     columns = docs.columns
-    stay = near_duplicates(docs).where("doc_id <=> class_id").select(F.col("doc_id").alias("_d")).distinct()
-    rows = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_d"]), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(*(F.col(c) for c in columns)))
-    return rows.withColumn("_nth", nth).where("_nth = 1").select(*columns)
+    joined, _ = _members(docs, THRESHOLD, SHINGLE, ROWS, BANDS)
+    first = joined.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")).alias("_first"))
+    stay = first.select(F.col("_first.doc_id").alias("_d"), F.col("_first.node").alias("_n"))
+    worded = F.coalesce(docs["text"].cast("string").rlike(WORD_PATTERN), F.lit(False))
+    schema = T.StructType([*docs.schema.fields, T.StructField("_node", T.BinaryType())])
+    named = docs.where(worded).mapInArrow(_with_node, schema)
+    same = (named["_node"] == stay["_n"]) & named["doc_id"].cast("long").eqNullSafe(stay["_d"])
+    kept = named.join(stay, same, "left_semi").groupBy("doc_id", "_node").agg(F.min(F.struct(*columns)).alias("_row"))
+    return kept.select(*(F.col("_row").getField(c).alias(c) for c in columns)).unionAll(docs.where(~worded))

@@ -266,6 +266,27 @@ def test_blocks_of_a_large_bucket_meet(spark, block):
     assert got == {i: 0 for i in range(25)}
 
 
+def test_one_row_of_each_near_class_stays(documents, odd_rows):
+    def text(seed, n=40):
+        rng = random.Random(seed)
+        return " ".join(rng.choice("abcdefghij") + str(rng.randrange(100)) for _ in range(n))
+
+    rows = [
+        *((None, text(i)) for i in range(5)),  # no ids, all different
+        (None, text(0).upper()),
+        (2, text(10)),
+        (5, text(10) + " more"),  # a near copy of 2, under an id that stands for another class
+        (5, text(11)),
+        (6, text(11)),
+    ]
+    got = nd.drop_near_duplicates(documents(rows)).collect()
+    kept = sorted((-1 if r.doc_id is None else r.doc_id, r.text.lower()) for r in got)
+    assert kept == sorted([*((-1, text(i)) for i in range(5)), (2, text(10)), (5, text(11))])
+    got = nd.drop_near_duplicates(documents(odd_rows)).select("doc_id", "text").collect()
+    want = [r[:2] for r in odd_rows if r[0] != 5]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
 def test_components(spark):
     rng = random.Random(7)
     name = [rng.randbytes(8) for _ in range(500)]  # nodes are hashes, so chains shrink fast
