@@ -217,12 +217,13 @@ def join_classes(comps: DataFrame, links: DataFrame) -> DataFrame:
 class _Block:
     """The nodes of one bucket, or of two parts of one, and which pairs may reach the threshold."""
 
-    def __init__(self, table: pa.Table, m: int, bands: int, least: float):
+    def __init__(self, table: pa.Table, m: int, least: float):
         self.node = table["node"].combine_chunks()
         _, self.comp = np.unique(table["comp"].to_numpy(), return_inverse=True)
         self.block = table["block"].to_numpy()
         self.i, self.j = table["i"][0].as_py(), table["j"][0].as_py()
-        self.band, self.rows = table["band"][0].as_py(), m // bands
+        earlier = table["earlier"].combine_chunks()
+        self.earlier = earlier.flatten().to_numpy().reshape(len(self.node), -1) if len(earlier.flatten()) else None
         self.s = np.frombuffer(b"".join(table["registers"].to_pylist()), dtype=np.uint8).reshape(len(self.node), m)
         self.least = least * m
 
@@ -233,26 +234,26 @@ class _Block:
             rest = np.flatnonzero((self.comp != self.comp[x]) & second)
             if not len(rest):
                 continue
-            equal = self.s[rest] == self.s[x]
-            # A pair is looked at in the first band that it shares, and in no other bucket.
-            earlier = equal[:, : self.band * self.rows].reshape(len(rest), self.band, self.rows).all(axis=2).any(axis=1)
-            good = rest[(equal.sum(axis=1) >= self.least) & ~earlier]
+            good = rest[(self.s[rest] == self.s[x]).sum(axis=1) >= self.least]
+            if self.earlier is not None:
+                # A pair is looked at in the first band whose whole name it shares, and in no other bucket.
+                good = good[~(self.earlier[good] == self.earlier[x]).any(axis=1)]
             if len(good):
                 yield int(x), good
 
 
-def _with_candidates(table: pa.Table, m: int, bands: int, least: float) -> pa.Table:
+def _with_candidates(table: pa.Table, m: int, least: float) -> pa.Table:
     """The rows of a block that have a candidate in it."""
     keep = np.zeros(table.num_rows, dtype=bool)
-    for x, others in _Block(table, m, bands, least).candidates():
+    for x, others in _Block(table, m, least).candidates():
         keep[x] = True
         keep[others] = True
     return table.filter(pa.array(keep))
 
 
-def _links_in_block(table: pa.Table, m: int, bands: int, least: float, threshold: float, size: int) -> pa.Table:
+def _links_in_block(table: pa.Table, m: int, least: float, threshold: float, size: int) -> pa.Table:
     """Verified links that join what is apart; pairs already joined in this block are skipped."""
-    block = _Block(table, m, bands, least)
+    block = _Block(table, m, least)
     top = np.arange(int(block.comp.max(initial=-1)) + 1)
     parts = []
     for chunk in table.select(["text"]).to_batches():
@@ -284,23 +285,26 @@ def links_still_missing(
 ) -> DataFrame:
     """a, b: links between different classes that share a bucket, enough to join them.
 
-    hits: bucket, band, node. Only buckets that hold several classes are looked at, and only
+    hits: bucket, band, node. registers: node, registers, and bands, the names of all bands; a pair
+    is then compared in the first band it shares only, without them in every one. Only buckets that hold several classes are looked at, and only
     texts with a candidate travel. Pairs never leave the task that compares them.
     """
     placed = _with_comp(hits.select("bucket", "band", "node"), "node", comps, "comp")
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
     mixed = mixed.where("lo <> hi").select("bucket", F.ceil(F.col("n") / block).cast("int").alias("g"))
     rows = placed.join(mixed, "bucket").join(registers, "node")
+    names = F.slice("bands", F.lit(1), F.col("band")) if "bands" in registers.columns else F.array().cast("array<long>")
+    rows = rows.withColumn("earlier", names)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("g")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, g - 1)")))
     rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    rows = rows.select("bucket", "band", "i", "j", "block", "node", "comp", "registers")
+    rows = rows.select("bucket", "band", "i", "j", "block", "node", "comp", "registers", "earlier")
     least = threshold - 4 * (threshold * (1 - threshold) / m) ** 0.5
     keys = ["bucket", "i", "j"]
-    some = rows.groupBy(*keys).applyInArrow(lambda t: _with_candidates(t, m, bands, least), rows.schema)
+    some = rows.groupBy(*keys).applyInArrow(lambda t: _with_candidates(t, m, least), rows.schema)
     some = cut(some).join(texts, "node")
     return some.groupBy(*keys).applyInArrow(
-        lambda t: _links_in_block(t, m, bands, least, threshold, size), "a binary, b binary"
+        lambda t: _links_in_block(t, m, least, threshold, size), "a binary, b binary"
     )
 
 
@@ -337,7 +341,7 @@ def _members(docs: DataFrame, threshold: float, size: int, rows: int, bands: int
     texts = cut(texts.select("node", "text").dropDuplicates(["node"]))
 
     comps = components(verify(best, texts, threshold, size))
-    missing = links_still_missing(hits, nodes.select("node", "registers"), texts, comps, m, bands, threshold, size)
+    missing = links_still_missing(hits, nodes.select("node", "registers", "bands"), texts, comps, m, bands, threshold, size)
     comps = join_classes(comps, missing)
 
     return _with_comp(members.where("node is not null"), "node", comps, "comp"), members

@@ -266,6 +266,21 @@ def test_blocks_of_a_large_bucket_meet(spark, block):
     assert got == {i: 0 for i in range(25)}
 
 
+def test_equal_digests_of_an_earlier_band_hide_no_pair(spark):
+    texts = [" ".join(["a"] * 3 + [f"w{k}" for k in range(100)] + [last]) for last in "xy"]
+    kept = nd.sketch(2, *nd.weighted_shingles(pa.array(texts)), 180)
+    short = (nd.mix(kept) >> np.uint64(56)).astype(np.uint8)
+    short[:, :12] = 1  # alike in the digests of the first band, whose names differ
+    rows = [(bytes([i]), short[i].tobytes(), [i, 9] + [100 + i] * 28, texts[i]) for i in range(2)]
+    table = spark.createDataFrame(rows, "node binary, registers binary, bands array<long>, text string")
+    registers = table.select("node", "registers", "bands")
+    none = spark.createDataFrame([], "node binary, comp binary")
+    for band, links in ((1, 1), (2, 0)):  # the pair shares band 1, so it is not looked at in band 2
+        hits = table.select(F.lit(9).cast("long").alias("bucket"), F.lit(band).alias("band"), "node")
+        found = nd.links_still_missing(hits, registers, table.select("node", "text"), none, 180, 30, 0.8)
+        assert found.count() == links
+
+
 def test_one_row_of_each_near_class_stays(documents, odd_rows):
     def text(seed, n=40):
         rng = random.Random(seed)
