@@ -151,14 +151,13 @@ def search(
             reach = np.searchsorted(-bucket.lengths, -(needed * (1 - SLACK)), side="right")
             scores = _products(queries[by_length], bucket.vectors[: reach.max()])
             for row, i in enumerate(by_length):
-                own = scores[row, : reach[row]]
-                top = own
+                others = np.flatnonzero(bucket.ids[: reach[row]] != query_ids[i])  # the query may have many rows
+                own = scores[row, others]
                 if len(own) > 4 * k:  # only what could be among the k best, ties included
-                    low = np.partition(own, len(own) - k - 1)[len(own) - k - 1]  # one more: the query itself
-                    where = np.flatnonzero(own >= max(low, floors[i]))
-                    offer(i, bucket.ids[where], own[where])
-                else:
-                    offer(i, bucket.ids[: reach[row]], top)
+                    low = np.partition(own, len(own) - k)[len(own) - k]
+                    best_of = own >= max(low, floors[i])
+                    others, own = others[best_of], own[best_of]
+                offer(i, bucket.ids[others], own)
     return best
 
 

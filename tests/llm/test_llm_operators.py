@@ -389,6 +389,18 @@ def test_search_equals_all_products(kind):
         assert got[a][1].tolist() == scores[others][best].tolist()
 
 
+def test_search_leaves_out_every_row_of_the_query():
+    rng = np.random.default_rng(8)
+    v = rng.integers(-3000, 3000, (200, 6))
+    ids = np.arange(200)
+    ids[:3], v[:3] = 7, 5000  # the query's id three times, above all others
+    ids[7] = 300
+    got_ids, scores = topk.search(ids[:1], v[:1], np.full(1, np.iinfo(np.int64).min), ids, v, 20)[0]
+    products = v @ v[0]
+    order = [i for i in np.lexsort((ids, -products)) if ids[i] != 7][:20]
+    assert got_ids.tolist() == ids[order].tolist() and scores.tolist() == products[order].tolist()
+
+
 def test_top_k_of_odd_vectors(spark):
     rng = random.Random(2)
     rows = [(i, [rng.uniform(-2, 2) for _ in range(4)]) for i in range(100)]
