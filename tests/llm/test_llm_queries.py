@@ -22,7 +22,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in ("documents", "embeddings", "labels"):
+    for name in ("documents", "embeddings", "labels", "conversations"):
         con.execute(f"create view {name} as select * from '{SF_DIR}/{name}.parquet'")
     yield con
     con.close()
