@@ -82,7 +82,7 @@ LINES: dict[str, str] = {
         case when point_id % 50 = 4 then 'Solo' else concat('Maker', cast(point_id % 7 as string), ' M', cast(point_id % 11 as string)) end,
         '|dev-', {_ID}, '/1,2|3/4,5|6/7,8|9/',
         case point_id % 50 when 0 then '0' when 1 then '0.5' when 2 then '-0.9' when 3 then 'bad' else {_SPOT} end,
-        ',', fmt6(longitude))""",
+        ',', case when point_id % 50 = 5 then '12.5d' else fmt6(longitude) end)""",
     "tab": f"""concat(
         case point_id % 50 when 0 then '0' when 1 then '0.0' when 2 then '' when 3 then '-0.25' else {_SPOT} end,
         tab, fmt6(longitude), tab, {_ID})""",

@@ -74,9 +74,10 @@ def _nearest(view: str, seeds: str) -> str:
 
 
 def _loop(
-    view: str, seeds: str, metric: str = "euclidean", tol: float = 1.0, max_iter: int = 100
+    view: str, seeds: str, metric: str = "euclidean", tol: float = 1.0, max_iter: int = 100, kind: str = "double"
 ) -> str:
     """CTE ``fit``: one row per iteration and cluster until the movement is small."""
+    mean = "coalesce(cast(cast(avg({0}) filter (where rn = 1) as " + kind + ") as double), any_value(old_{0})) as {0}"
     km = _DISTANCE[metric]("old_latitude", "old_longitude", "latitude", "longitude")
     going = f"c.moved > {tol}e0 and c.iteration < {max_iter}"
     return f"""with recursive {_points(view)}, {seeds},
@@ -91,8 +92,8 @@ def _loop(
             select iteration, cluster_id, latitude, longitude, n_points, {km} as km
             from (
                 select iteration + 1 as iteration, cluster_id,
-                       coalesce(avg(latitude) filter (where rn = 1), any_value(old_latitude)) as latitude,
-                       coalesce(avg(longitude) filter (where rn = 1), any_value(old_longitude)) as longitude,
+                       {mean.format("latitude")},
+                       {mean.format("longitude")},
                        any_value(old_latitude) as old_latitude,
                        any_value(old_longitude) as old_longitude,
                        count(*) filter (where rn = 1) as n_points
@@ -110,6 +111,26 @@ def _final(*args, **options) -> str:
         where iteration = (select max(iteration) from fit)"""
 
 
+def _keyless_seeds(rows: str, copy: str) -> str:
+    """The first 40 by hash of the place, and of the copy's number if there is one."""
+    part = "cast(floor(greatest(-4e9, least(4e9, {0})) * 1e9) as bigint)"
+    name = f"concat('1:', {part.format('latitude')}, ':', {part.format('longitude')}{copy and ", ':', copy"})"
+    order = f"cast(concat('0x', substr(md5({name}), 1, 15)) as bigint), latitude, longitude{copy and ', copy'}"
+    return f"""
+        select cast(row_number() over (order by {order}) - 1 as integer) as cluster_id, {_PLACE}
+        from (select {rows} from ({point_view_sql('lineitem_points')}) v) r
+        qualify row_number() over (order by {order}) <= 40"""
+
+
+_GRID = " union all ".join(
+    f"select *, {k} as k, '{metric}' as metric from ({_final('event_points', _drawn_seeds(k), metric=metric)})"
+    for k in (2, 5, 6, 20)
+    for metric in ("euclidean", "haversine")
+)
+_INDEXED = f"""with {_points("event_points")}, seeds as materialized (
+        select cast(row_number() over (order by point_id) - 1 as integer) as cluster_id, latitude, longitude
+        from ({point_view_sql("customer_points")}) v)
+    select point_id, cluster_id, round(km, 6) as distance_km from ({_ranked("seeds")}) r where rn = 1"""
 _SEEDS6 = _drawn_seeds(6)
 _WITH_EMPTY = f"""seeds as materialized ({point_view_sql("region_seeds")}
         union all select cast((select count(*) from region) as integer), 89e0, 0e0)"""
@@ -166,6 +187,9 @@ ORACLES: dict[str, str] = {
     "chord_distance": _to_hub("euclidean", "chord_km"),
     "haversine_distance": _to_hub("haversine", "haversine_km"),
     "seed_sample": f"with {_points('event_points')}, {_SEEDS6} select cluster_id, {_PLACE} from seeds",
+    "seed_rows": _keyless_seeds("*, row_number() over (partition by latitude, longitude) as copy", "copy"),
+    "seed_places": _keyless_seeds("distinct *", ""),
+    "nearest_centroid_indexed": _INDEXED,
     "nearest_centroid": _NEAREST_KM,
     "nearest_centroid_array": _NEAREST_KM,
     "cluster_mean": f"""{_NEAR}
@@ -181,6 +205,9 @@ ORACLES: dict[str, str] = {
                string_agg(printf('%.6f', latitude), ',' order by point_id) as lat_list,
                string_agg(printf('%.6f', longitude), ',' order by point_id) as long_list
         from chunked group by cluster_id, chunk order by cluster_id, chunk""",
+    "cluster_lists_keyless": f"""{_nearest("lineitem_points", _table_seeds("region_seeds"))}
+        select cluster_id, {_PLACE} from near""",
+    "cluster_lists_repeated_key": f"{_NEAR} select cluster_id, {_PLACE} from near",
     "cluster_points_exploded": f"""{_CHUNKED}
         select cluster_id, chunk,
                row_number() over (partition by cluster_id, chunk order by point_id) - 1 as position, {_PLACE}
@@ -205,6 +232,10 @@ ORACLES: dict[str, str] = {
     "kmeans_lineitem_regions": _final("lineitem_points", _table_seeds("region_seeds")),
     "kmeans_lineitem_nations": _final("lineitem_points", _table_seeds("nation_seeds")),
     "kmeans_tiles": _final("event_points", _SEEDS6),
+    "kmeans_resumed": f"""{_loop("event_points", _SEEDS6)}
+        select iteration, cluster_id, n_points, round(km, 6) as displacement_km, {_PLACE} from fit""",
+    "kmeans_grid": _GRID,
+    "float32_centroids": _final("event_points", _SEEDS6, tol=-1.0, max_iter=2, kind="float"),
     "kmeans_many_centroids": _final("customer_points", _drawn_seeds(100), tol=-1.0, max_iter=2),
     "kmeans_predict": f"""{_loop("event_points", _SEEDS6)},
         last as (select cluster_id, latitude, longitude from fit

@@ -15,6 +15,7 @@ from spheremeans.operators.assign import assign
 from spheremeans.operators.clusters import cluster_lists, cluster_points
 from spheremeans.operators.filters import decimal_shaped, has_fields, nonzero
 from spheremeans.plans import cleaning
+from spheremeans.plans.grid import fit_grid
 from spheremeans.plans.kmeans import CENTROID_SCHEMA, Model, fit
 from spheremeans.sinks import points as sinks
 from spheremeans.sources import clusters as saved
@@ -92,6 +93,35 @@ def seed_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(cent.seed_centroids(_events(spark, sf_dir), K, SEED), "cluster_id")
 
 
+def _drawn(draw: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Without a key; one place holds a third of the rows."""
+        points = point_view(spark, sf_dir, "lineitem_points")
+        return _rounded(cent.seed_centroids(points, 40, SEED, None, draw), "cluster_id")
+
+    return query
+
+
+def nearest_centroid_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer's place is a centroid; a tree finds the nearest."""
+    centroids = _customers(spark, sf_dir).orderBy(KEY).select(*PLACE).collect()
+    found = assign(_events(spark, sf_dir), centroids, distance="distance_km", index_from=1)
+    return found.select(KEY, "cluster_id", _r("distance_km"))
+
+
+def cluster_lists_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of a table without a key, one place holding a third of it, read back."""
+    points = point_view(spark, sf_dir, "lineitem_points")
+    lists = cluster_lists(assign(points, point_view(spark, sf_dir, "region_seeds")), chunk_rows=CHUNK)
+    return _rounded(cluster_points(lists), "cluster_id")
+
+
+def cluster_lists_repeated_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists by a key of three values, each far more frequent than a chunk is long, read back."""
+    points = _assigned(spark, sf_dir).withColumn(KEY, F.col(KEY) % 3)
+    return _rounded(cluster_points(cluster_lists(points, KEY, CHUNK)), "cluster_id")
+
+
 def cluster_lists_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = cluster_lists(_assigned(spark, sf_dir), KEY, CHUNK)
 
@@ -187,6 +217,30 @@ def kmeans_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _final(_fit(spark, sf_dir, k=K, key=KEY, cache="tiles"))
 
 
+def kmeans_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stopped after two passes, then taken up again by its folder: the whole history."""
+    path = new_path(spark, "history")
+    _fit(spark, sf_dir, k=K, key=KEY, max_iter=2, history=path)
+    history = _fit(spark, sf_dir, resume=path).history()
+    return _rounded(history, "iteration", "cluster_id", "n_points", _r("displacement_km"))
+
+
+def kmeans_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The factors of the published runtime analysis, k and metric, in shared passes."""
+    models = fit_grid(_events(spark, sf_dir), (2, 5, 6, 20), key=KEY)
+    finals = [
+        _final(model).withColumns({"k": F.lit(k), "metric": F.lit(metric)}) for (k, metric), model in models.items()
+    ]
+    out = finals[0]
+    for more in finals[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def float32_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _final(_fit(spark, sf_dir, k=K, key=KEY, tol_km=-1.0, max_iter=2, float32_centroids=True))
+
+
 def kmeans_many_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _final(_fit(spark, sf_dir, "customer_points", k=100, key=KEY, tol_km=-1.0, max_iter=2))
 
@@ -300,11 +354,16 @@ QUERIES: dict[str, Query] = {
     "chord_distance": _to_hub(geo.chord_km, "chord_km"),
     "haversine_distance": _to_hub(geo.haversine_km, "haversine_km"),
     "seed_sample": seed_sample,
+    "seed_rows": _drawn("rows"),
+    "seed_places": _drawn("places"),
     "nearest_centroid": _labels(unroll_limit=K),
     "nearest_centroid_array": _labels(unroll_limit=0),
+    "nearest_centroid_indexed": nearest_centroid_indexed,
     "cluster_mean": cluster_mean,
     "lineitem_cluster_mean": lineitem_cluster_mean,
     "cluster_lists": cluster_lists_query,
+    "cluster_lists_keyless": cluster_lists_keyless,
+    "cluster_lists_repeated_key": cluster_lists_repeated_key,
     "cluster_points_exploded": cluster_points_exploded,
     "cluster_sizes": cluster_sizes,
     "centroid_ids": centroid_ids,
@@ -318,6 +377,9 @@ QUERIES: dict[str, Query] = {
     "kmeans_lineitem_regions": kmeans_lineitem_regions,
     "kmeans_lineitem_nations": kmeans_lineitem_nations,
     "kmeans_tiles": kmeans_tiles,
+    "kmeans_resumed": kmeans_resumed,
+    "kmeans_grid": kmeans_grid,
+    "float32_centroids": float32_centroids,
     "kmeans_many_centroids": kmeans_many_centroids,
     "kmeans_predict": kmeans_predict,
     "kmeans_unlocated": kmeans_unlocated,

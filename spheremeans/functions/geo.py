@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,6 +61,17 @@ def distance_km(
     raise ValueError(f"unknown metric {metric!r}, expected one of {sorted(METRICS)}")
 
 
+def moves_km(metric: str, old: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """``distance_km`` between rows of (latitude, longitude) held by the driver, such as centroids."""
+    (phi1, lam1), (phi2, lam2) = np.radians(old).T, np.radians(new).T
+    if METRICS[metric] == "haversine":
+        a = np.sin((phi2 - phi1) / 2) ** 2 + np.cos(phi1) * np.cos(phi2) * np.sin((lam2 - lam1) / 2) ** 2
+        a = np.minimum(a, 1.0)
+        return 2 * EARTH_RADIUS_KM * np.arctan2(np.sqrt(a), np.sqrt(1 - a))
+    ends = [(np.cos(p) * np.cos(m), np.cos(p) * np.sin(m), np.sin(p)) for p, m in ((phi1, lam1), (phi2, lam2))]
+    return EARTH_RADIUS_KM * np.sqrt(sum((b - a) ** 2 for a, b in zip(*ends, strict=True)))
+
+
 def is_located(lat: Column | str, lon: Column | str) -> Column:
     """True where both coordinates are present finite numbers.
 

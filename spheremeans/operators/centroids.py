@@ -4,85 +4,45 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spheremeans.functions.geo import distance_km, is_located
-
-# Buckets per wanted seed when points have no key.
-_BUCKETS_PER_SEED = 16
-
-
-def seed_order(seed: int, key: Column | str) -> Column:
-    """A pseudo-random order of keys, the same for any partitioning."""
-    c = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string")))
-
+from spheremeans.operators.sampling import lowest_copies, lowest_keys, lowest_places
 
 def sample_seeds(
-    points: DataFrame, k: int, seed: int | None = 1, key: str | None = None
+    points: DataFrame, k: int, seed: int | None = 1, key: str | None = None, draw: str = "places"
 ) -> list[tuple[float, float]]:
     """Pick k starting centroids; a seed of None picks differently each time.
 
-    With a unique ``key`` the k first rows in seeded order are taken, each task
-    keeping only its own first k. Without one the seeds are distinct places.
-    Fewer than k candidates is an error.
+    With a unique ``key`` the k first rows in seeded order are taken. Without one ``draw`` says
+    what is picked: ``"places"``, distinct ones, or ``"rows"``, so that a place is the
+    likelier the more rows it has and can come more than once. Fewer candidates than k is an error.
+    The first seeds of a larger k are those of a smaller one.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
+    if draw not in ("places", "rows"):
+        raise ValueError(f"unknown draw {draw!r}")
     if seed is None:
         seed = random.randrange(1 << 31)
     located = points.filter(is_located("latitude", "longitude"))
-    rows = (
-        _by_key(located, k, seed, key).collect() if key else _distinct_places(located, k, seed)
-    )
+    if key:
+        rows = lowest_keys(located, k, seed, key)
+    else:
+        rows = (lowest_places if draw == "places" else lowest_copies)(located, k, seed)
     if len(rows) < k:
         raise ValueError(f"only {len(rows)} points to pick {k} centroids from")
     return [(r["latitude"], r["longitude"]) for r in rows]
 
 
-def _by_key(located: DataFrame, k: int, seed: int, key: str) -> DataFrame:
-    order = seed_order(seed, key)
-    return (
-        located.select("latitude", "longitude", order.alias("_order"), F.col(key).alias("_key"))
-        .orderBy("_order", "_key")
-        .limit(k)
-    )
-
-
-def _distinct_places(located: DataFrame, k: int, seed: int) -> list:
-    """The place of lowest hash in each of many hash buckets, then the k lowest.
-
-    Copies of a place share a bucket and fold into one, and no task emits more
-    rows than there are buckets, however many points it reads.
-    """
-    place = F.struct("_hash", "latitude", "longitude")
-    hashed = located.select(
-        F.xxhash64(F.lit(seed), "latitude", "longitude").alias("_hash"), "latitude", "longitude"
-    )
-    buckets = _BUCKETS_PER_SEED * k
-    lowest = (
-        hashed.groupBy(F.pmod("_hash", F.lit(buckets)).alias("_bucket"))
-        .agg(F.min(place).alias("_place"))
-        .select("_place.*")
-    )
-    rows = lowest.orderBy("_hash", "latitude", "longitude").limit(k).collect()
-    if len(rows) < k:
-        # So few buckets are filled only when there are hardly more places than k.
-        rows = (
-            hashed.dropDuplicates().orderBy("_hash", "latitude", "longitude").limit(k).collect()
-        )
-    return rows
-
-
-def seed_centroids(points: DataFrame, k: int, seed: int = 1, key: str = "point_id") -> DataFrame:
-    """The seeds of ``sample_seeds`` as a centroid table, computed lazily."""
-    located = points.filter(is_located("latitude", "longitude"))
-    first = _by_key(located, k, seed, key)
-    rank = F.row_number().over(Window.orderBy("_order", "_key"))
-    return first.select(
-        (rank - 1).cast("int").alias("cluster_id"), "latitude", "longitude"
-    )
+def seed_centroids(
+    points: DataFrame, k: int, seed: int = 1, key: str | None = "point_id", draw: str = "places"
+) -> DataFrame:
+    """The seeds of ``sample_seeds`` as a centroid table."""
+    seeds = sample_seeds(points, k, seed, key, draw)
+    rows = [(i, lat, lon) for i, (lat, lon) in enumerate(seeds)]
+    return points.sparkSession.createDataFrame(rows, "cluster_id int, latitude double, longitude double")
 
 
 def cluster_means(assigned: DataFrame, label: str = "cluster_id") -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spheremeans.operators.centroids import cluster_sizes
 
 DEFAULT_CHUNK_ROWS = 100_000
 PIECES_PER_CHUNK = 16
@@ -22,13 +21,11 @@ def _bucket(key: Column, buckets: Column) -> Column:
     return F.pmod(F.conv(leading, 16, 10).cast("bigint"), buckets)
 
 
-def _with_chunks(assigned: DataFrame, chunk_rows: int, sizes: DataFrame | None) -> DataFrame:
+def _with_chunks(assigned: DataFrame, chunk_rows: int, sizes: DataFrame) -> DataFrame:
     """``assigned`` with ``_chunks``, the number of chunks of the row's cluster.
 
-    ``sizes`` (cluster_id, n_points) saves counting; a cluster that it lacks is one chunk.
+    A cluster that ``sizes`` (cluster_id, n_points) lacks is one chunk.
     """
-    if sizes is None:
-        sizes = cluster_sizes(assigned)
     chunks = sizes.select(
         F.col("cluster_id").alias("_c"), F.ceil(F.col("n_points") / chunk_rows).cast("bigint").alias("_n")
     )
@@ -44,64 +41,33 @@ def cluster_lists(
 ) -> DataFrame:
     """Parallel latitude and longitude lists per cluster and chunk.
 
-    With a unique ``key`` points go to chunks by key and are listed in key order;
-    rows without one are dealt evenly over the chunks and listed first.
-    Without one, equal places are first counted together and a place with many
-    copies is cut up, so copies cannot pile up in one chunk; points are then
-    listed by coordinates.
+    With a ``key`` points go to chunks by key and are listed in key order. Rows of a key that
+    repeats more than a fraction of a chunk, and rows without one, are dealt by key and place.
+    Without a ``key`` points are listed by coordinates. Equal points are first counted together and
+    one with many copies is cut up, so copies cannot pile up in one chunk.
     """
     if chunk_rows < 1:
         raise ValueError("chunk_rows must be at least 1")
     assigned = assigned.filter(F.col("cluster_id").isNotNull())
+    point = [*([F.col(key).alias("key")] if key else []), "latitude", "longitude"]
+    copies = assigned.groupBy("cluster_id", *point).agg(F.count(F.lit(1)).alias("copies"))
+    if sizes is None:
+        sizes = copies.groupBy("cluster_id").agg(F.sum("copies").alias("n_points"))
+    # Copies travel in pieces well below a chunk, so that chunks come out even.
+    piece_rows = -(-chunk_rows // PIECES_PER_CHUNK)
+    cut = F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {piece_rows}"))).alias("piece")
+    pieces = _with_chunks(copies, chunk_rows, sizes).select("*", cut)
+    names = [c for c in copies.columns if c not in ("cluster_id", "copies")]
+    chunk = F.pmod(F.xxhash64(*names, "piece"), F.col("_chunks"))
     if key:
-        dealt = F.pmod(F.xxhash64("latitude", "longitude", F.monotonically_increasing_id()), F.col("_chunks"))
-        items = _with_chunks(assigned, chunk_rows, sizes).select(
-            "cluster_id",
-            F.coalesce(_bucket(F.col(key), F.col("_chunks")), dealt).alias("chunk"),
-            F.struct(F.col(key).alias("key"), "latitude", "longitude").alias("item"),
-        )
-        grouped = items.groupBy("cluster_id", "chunk").agg(
-            F.sort_array(F.collect_list("item")).alias("items")
-        )
-    else:
-        # Copies travel in pieces well below a chunk, so that chunks come out even.
-        piece_rows = -(-chunk_rows // PIECES_PER_CHUNK)
-        copies = assigned.groupBy("cluster_id", "latitude", "longitude").agg(
-            F.count(F.lit(1)).alias("copies")
-        )
-        if sizes is None:
-            sizes = copies.groupBy("cluster_id").agg(F.sum("copies").alias("n_points"))
-        pieces = (
-            _with_chunks(copies, chunk_rows, sizes)
-            .select(
-                "cluster_id",
-                "_chunks",
-                "latitude",
-                "longitude",
-                "copies",
-                F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {piece_rows}"))).alias(
-                    "piece"
-                ),
-            )
-            .select(
-                "cluster_id",
-                F.pmod(F.xxhash64("latitude", "longitude", "piece"), F.col("_chunks")).alias("chunk"),
-                F.struct(
-                    "latitude",
-                    "longitude",
-                    F.least(
-                        F.lit(piece_rows), F.col("copies") - F.col("piece") * piece_rows
-                    ).cast("int").alias("n"),
-                ).alias("item"),
-            )
-        )
-        grouped = pieces.groupBy("cluster_id", "chunk").agg(
-            F.flatten(
-                F.transform(
-                    F.sort_array(F.collect_list("item")), lambda i: F.array_repeat(i, i["n"])
-                )
-            ).alias("items")
-        )
+        often = copies.groupBy(F.col("cluster_id").alias("_c"), F.col("key").alias("_k")).agg(F.sum("copies").alias("_often"))
+        often = often.where((F.col("_often") > piece_rows) | F.col("_k").isNull())
+        pieces = pieces.join(often, (pieces["cluster_id"] == often["_c"]) & pieces["key"].eqNullSafe(often["_k"]), "left")
+        chunk = F.when(F.col("_often").isNull(), _bucket(F.col("key"), F.col("_chunks"))).otherwise(chunk)
+    n = F.least(F.lit(piece_rows), F.col("copies") - F.col("piece") * piece_rows).cast("int").alias("n")
+    pieces = pieces.select("cluster_id", chunk.alias("chunk"), F.struct(*names, n).alias("item"))
+    repeated = F.transform(F.sort_array(F.collect_list("item")), lambda i: F.array_repeat(i, i["n"]))
+    grouped = pieces.groupBy("cluster_id", "chunk").agg(F.flatten(repeated).alias("items"))
     return grouped.select(
         "cluster_id",
         "chunk",

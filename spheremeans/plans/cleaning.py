@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from spheremeans.functions.text import to_double
 from spheremeans.operators.filters import keep_decimal_points, nonzero
 from spheremeans.sources import lines
 
@@ -34,8 +34,8 @@ def device_records(
     return kept.select(
         "date",
         "deviceId",
-        F.col("latitude").try_cast("double").alias("latitude"),
-        F.col("longitude").try_cast("double").alias("longitude"),
+        to_double("latitude").alias("latitude"),
+        to_double("longitude").alias("longitude"),
         "manufacturer",
         "model",
     )

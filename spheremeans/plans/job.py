@@ -38,6 +38,9 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--max-iter", type=int, default=100, help="0: no limit")
     parser.add_argument("--allow-unconverged", action="store_true")
     parser.add_argument("--seed", type=int, default=1)
+    parser.add_argument("--draw", choices=["places", "rows"], default="places", help="what seeds are picked from")
+    parser.add_argument("--history", help="folder to append every iteration to (default: OUTPUT-history, at the end)")
+    parser.add_argument("--resume", help="folder of a history to go on from, written with --history")
     parser.add_argument("--cache", choices=["none", "memory", "table", "tiles"], default="memory")
     parser.add_argument("--chunk-rows", type=int, default=DEFAULT_CHUNK_ROWS)
     args = parser.parse_args(argv)
@@ -62,7 +65,10 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> Model:
         tol_km=args.tolerance_km,
         max_iter=args.max_iter or None,
         seed=args.seed,
+        draw=args.draw,
         cache=args.cache,
+        history=args.history,
+        resume=args.resume,
     )
     assigned = model.assignments()
     if args.sink == "assignments":
@@ -75,7 +81,8 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> Model:
         write(cluster_lists(assigned, chunk_rows=args.chunk_rows, sizes=sizes), args.output)
     base = args.output.rstrip("/")
     model.centroid_table().write.parquet(f"{base}-centroids")
-    model.history().write.parquet(f"{base}-history")
+    if not (args.history or args.resume):
+        model.history().write.parquet(f"{base}-history")
     if model.table_path:
         path = spark._jvm.org.apache.hadoop.fs.Path(model.table_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -27,6 +27,7 @@ from spheremeans.operators.assign import (
 )
 from spheremeans.operators.centroids import cluster_means, sample_seeds
 from spheremeans.plans import tiles
+from spheremeans.plans.history import History
 
 # Fixed value: both jobs stop at a total movement of one kilometre.
 DEFAULT_TOLERANCE_KM = 1.0
@@ -36,10 +37,6 @@ MOST_CONSTANTS = 64
 
 PLACE = ("latitude", "longitude")
 CENTROID_SCHEMA = "cluster_id int, latitude double, longitude double"
-HISTORY_SCHEMA = (
-    "iteration int, cluster_id int, latitude double, longitude double, "
-    "n_points bigint, displacement_km double, seconds double"
-)
 
 
 @dataclass
@@ -57,7 +54,7 @@ class Model:
     converged: bool
     iterations: int
     n_unlocated: int
-    records: list[tuple] = field(default_factory=list, repr=False)
+    log: History
     table_path: str | None = None
 
     def centroid_table(self) -> DataFrame:
@@ -66,7 +63,12 @@ class Model:
 
     def history(self) -> DataFrame:
         """One row per iteration and cluster; iteration 0 holds the seeds."""
-        return self.spark.createDataFrame(self.records, HISTORY_SCHEMA)
+        return self.log.frame()
+
+    @property
+    def records(self) -> list[tuple]:
+        """The rows of ``history()`` by iteration and cluster."""
+        return self.log.rows()
 
     def assignments(self) -> DataFrame:
         """The points with the labels of the last pass, unlocated points left out."""
@@ -137,20 +139,29 @@ def fit(
     points: DataFrame,
     k: int | None = None,
     *,
-    metric: str = "euclidean",
+    metric: str | None = None,
     tol_km: float = DEFAULT_TOLERANCE_KM,
     max_iter: int | None = 100,
     seed: int | None = 1,
     key: str | None = None,
     init: DataFrame | Centroids | None = None,
+    draw: str = "places",
     cache: str = "memory",
-    float32_centroids: bool = False,
+    float32_centroids: bool | None = None,
+    history: str | None = None,
+    resume: str | None = None,
 ) -> Model:
     """Cluster ``points`` (double columns latitude, longitude) into k groups.
 
-    Labels always follow chord distance; ``metric`` only measures how far the
-    centroids moved. The loop ends when that total is at most ``tol_km`` or after
+    Labels always follow chord distance; ``metric`` (euclidean if not given) only measures
+    how far the centroids moved. The loop ends when that total is at most ``tol_km`` or after
     ``max_iter`` passes (None: no limit). A cluster left empty keeps its centroid.
+    Seeds come from ``sample_seeds`` with ``seed``, ``key`` and ``draw``, or from ``init``.
+
+    With ``history`` every iteration is appended to that folder as it ends, and the driver
+    holds no more than two. ``resume`` names such a folder, takes k, metric and the last
+    centroids from it, and goes on to the end that an uninterrupted fit of the same points would have had;
+    ``max_iter`` counts the iterations before.
 
     ``cache`` says what the passes read: ``"none"`` the source itself, best for
     columnar files; ``"memory"`` cached coordinates, spilling to disk;
@@ -160,13 +171,27 @@ def fit(
     large data are expected. Written tables are kept for the caller to delete
     (``Model.table_path``).
     """
-    if metric not in METRICS:
+    if metric is not None and metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}, expected one of {sorted(METRICS)}")
     if cache not in ("none", "memory", "table", "tiles"):
         raise ValueError(f"unknown cache {cache!r}")
     if max_iter is not None and max_iter < 1:
         raise ValueError("max_iter must be at least 1")
+    if history and resume:
+        raise ValueError("a resumed fit goes on in the folder it resumes from")
     spark = points.sparkSession
+    state = None
+    if resume:
+        if init is not None:
+            raise ValueError("a resumed fit has its centroids already")
+        log, was = History.open(spark, resume)
+        for name, value in (("k", k), ("metric", metric), ("float32_centroids", float32_centroids)):
+            same = value == was[name] or METRICS.get(value, value) == METRICS.get(was[name])
+            if value is not None and not same:
+                raise ValueError(f"the fit to resume has {name}={was[name]!r}")
+        metric, float32_centroids = was["metric"], was["float32_centroids"]
+        state = _resumed(log)
+    metric, float32_centroids = metric or "euclidean", bool(float32_centroids)
 
     table_path = None
     if cache == "table":
@@ -182,66 +207,93 @@ def fit(
     if cache == "memory":  # before the seeds are drawn, so the source is read once
         reused = points.select(*dict.fromkeys([*PLACE, *([key] if key else [])]))
         reused = reused.persist(StorageLevel.MEMORY_AND_DISK)
-    if init is not None:
+    if state:
+        centroids = state["centroids"]
+    elif init is not None:
         centroids = centroid_list(init)
         if k is not None and k != len(centroids):
             raise ValueError(f"{len(centroids)} initial centroids for k={k}")
     elif k is None:
         raise ValueError("either k or init is needed")
     else:
-        centroids = sample_seeds(reused if cache == "memory" else points, k, seed, key)
+        centroids = sample_seeds(reused if cache == "memory" else points, k, seed, key, draw)
+    if not state:
+        if history:
+            log = History.create(spark, history, len(centroids), metric, float32_centroids)
+        else:
+            log = History(spark)
+        state = begin(log, centroids)
 
-    if cache == "tiles":
-        reused = tiles.summarise(tiled).persist(StorageLevel.MEMORY_AND_DISK)
-    elif cache != "memory":
-        reused = points
     try:
         if cache == "tiles":
-            run = tiles.tiled_pass(tiled, reused, _finisher(metric, float32_centroids))
+            run = tiles.tiled_pass(tiled, metric, float32_centroids)
         else:
-            build = _full_pass(reused.select(*PLACE), metric, float32_centroids)
+            build = _full_pass((reused if cache == "memory" else points).select(*PLACE), metric, float32_centroids)
 
             def run(pairs: Centroids) -> list[Row]:
                 return build(pairs).collect()
 
-        outcome = _loop(run, centroids, tol_km, max_iter)
+        outcome = _loop(run, state, log, tol_km, max_iter)
     finally:
-        if cache in ("memory", "tiles"):
+        if cache == "memory":
             reused.unpersist()
-    return Model(spark=spark, points=points, table_path=table_path, **outcome)
+    return Model(spark=spark, points=points, table_path=table_path, log=log, **outcome)
+
+
+def begin(log: History, centroids: list[tuple[float, float]]) -> dict:
+    """The state before the first pass."""
+    log.append(0, [(i, lat, lon, None, None, None) for i, (lat, lon) in enumerate(centroids)])
+    return {"centroids": centroids, "labelling_centroids": centroids, "moved": float("inf"), "iterations": 0, "n_unlocated": 0}
+
+
+def _resumed(log: History) -> dict:
+    """The state after the last pass of a stored history."""
+    rows, before = log.last()
+    pairs = lambda rows: [(r["latitude"], r["longitude"]) for r in rows]
+    moves = [r["displacement_km"] for r in rows]
+    return {
+        "centroids": pairs(rows),
+        "labelling_centroids": pairs(before or rows),
+        "moved": sum(moves) if before else float("inf"),
+        "iterations": rows[0]["iteration"],
+        "n_unlocated": rows[0]["n_unlocated"],
+    }
+
+
+def advance(state: dict, log: History, found: dict, seconds: float) -> None:
+    """Takes one pass into the state: means, sizes and movements by cluster, unlocated points under None."""
+    previous = state["centroids"]
+    n_unlocated = found[None]["n_points"] if None in found else 0
+    centroids, moved, rows = list(previous), 0.0, []
+    for i, (lat, lon) in enumerate(previous):
+        r = found.get(i)
+        n, km = (r["n_points"], r["displacement_km"]) if r else (0, 0.0)
+        if r:
+            lat, lon = r["latitude"], r["longitude"]
+        centroids[i] = (lat, lon)
+        moved += km
+        rows.append((i, lat, lon, n, km, seconds))
+    state.update(
+        centroids=centroids, labelling_centroids=previous, moved=moved, iterations=state["iterations"] + 1, n_unlocated=n_unlocated
+    )
+    log.append(state["iterations"], rows, n_unlocated)
+
+
+def goes_on(state: dict, tol_km: float, max_iter: int | None) -> bool:
+    return state["moved"] > tol_km and (max_iter is None or state["iterations"] < max_iter)
+
+
+def ended(state: dict, tol_km: float) -> dict:
+    """What a model tells of a fit."""
+    out = dict(state)
+    return out | {"converged": out.pop("moved") <= tol_km}
 
 
 def _loop(
-    run: Callable[[Centroids], list[Row]],
-    centroids: list[tuple[float, float]],
-    tol_km: float,
-    max_iter: int | None,
+    run: Callable[[Centroids], list[Row]], state: dict, log: History, tol_km: float, max_iter: int | None
 ) -> dict:
-    records: list[tuple] = [
-        (0, i, lat, lon, None, None, None) for i, (lat, lon) in enumerate(centroids)
-    ]
-    previous, moved, iteration, n_unlocated = centroids, float("inf"), 0, 0
-    while moved > tol_km and (max_iter is None or iteration < max_iter):
-        iteration += 1
+    while goes_on(state, tol_km, max_iter):
         began = time.perf_counter()
-        previous = centroids
-        found = {r["cluster_id"]: r for r in run(previous)}
-        n_unlocated = found[None]["n_points"] if None in found else 0
-        seconds = time.perf_counter() - began
-        centroids, moved = list(previous), 0.0
-        for i, (lat, lon) in enumerate(previous):
-            r = found.get(i)
-            n, km = (r["n_points"], r["displacement_km"]) if r else (0, 0.0)
-            if r:
-                lat, lon = r["latitude"], r["longitude"]
-            centroids[i] = (lat, lon)
-            moved += km
-            records.append((iteration, i, lat, lon, n, km, seconds))
-    return {
-        "centroids": centroids,
-        "labelling_centroids": previous,
-        "converged": moved <= tol_km,
-        "iterations": iteration,
-        "n_unlocated": n_unlocated,
-        "records": records,
-    }
+        found = {r["cluster_id"]: r for r in run(state["centroids"])}
+        advance(state, log, found, time.perf_counter() - began)
+    return ended(state, tol_km)

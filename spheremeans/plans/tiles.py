@@ -1,25 +1,29 @@
 """K-means passes that skip the map tiles no cluster border crosses.
 
-The points are written once, in folders by tile of the map, and summed up per
-smaller cell. Far from the borders every point of a cell has the same nearest
-centroid, which the cell's size and the distances from its centre can prove:
-a point is at most the cell radius nearer to or farther from any centroid than
-the centre is (Kanungo et al., 2002, use the same bound on a tree). Such a cell
-enters the means through its sums. Only points of the other cells are labelled
-one by one, and tiles without any are not read. Labels and counts are those of
-a full pass.
+The points are written once, in folders by tile of the map, and summed up per smaller cell.
+The map bounds the number of cells, so their sums are held by the driver. Far from the borders
+every point of a cell has the same nearest centroid, which the cell's size and the distances
+from its centre can prove: a point is at most the cell radius nearer to or farther from any
+centroid than the centre is (Kanungo et al., 2002, use the same bound on a tree). What is left
+of the gap is the cell's slack. It is carried over the passes and only lowered by how far
+centroids moved (as Hamerly, 2010, does for points); cells whose slack ran out are judged
+again. A settled cell enters the means through its sums. Only the points of the others are
+labelled one by one, in one Spark job that reads their tiles alone, or in none where all
+cells are settled. Labels and counts are those of a full pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from spheremeans.functions.geo import EARTH_RADIUS_KM, is_located
-from spheremeans.operators.assign import Centroids, distinct_places, label_placed, nearest_two, place
+from spheremeans.functions.geo import EARTH_RADIUS_KM, is_located, moves_km
+from spheremeans.operators.assign import Centroids, distinct_places, label_placed, nearest_two, place, positions
 
 TILE_DEGREES = 10.0
 CELL_DEGREES = 0.5
@@ -93,72 +97,94 @@ def summarise(tiled: DataFrame) -> DataFrame:
     )
 
 
-def tiled_pass(
-    tiled: DataFrame,
-    cells: DataFrame,
-    finish: Callable[[DataFrame, Centroids], DataFrame],
-) -> Callable[[Centroids], list[Row]]:
+class Cells:
+    """Sums and bounds of the cells in use, at most ``MAX_CELLS``, held by the driver."""
+
+    def __init__(self, summary: DataFrame) -> None:
+        table = summary.toArrow()
+        column = {n: table.column(n).to_numpy(zero_copy_only=False) for n in table.column_names}
+        self.tile, self.cell, self.n = column["_tile"], column["_cell"], column["n"]
+        self.sums = np.column_stack([column["sum_latitude"], column["sum_longitude"]])
+        self.placed = self.cell != _NO_PLACE
+        centre = np.column_stack([column["latitude"], column["longitude"]])
+        self.centre, self.radius = positions(np.where(self.placed[:, None], centre, 0.0)), column["radius_km"]
+        self.label = np.full(len(self.cell), -1)
+        self.slack = np.where(self.placed, -np.inf, np.inf)
+        self.judged = 0
+        self._last: np.ndarray | None = None
+
+    def settle(self, pairs: Centroids) -> None:
+        """Labels and slacks for these centroids; carried where they last.
+
+        A positive slack says that all points of the cell have the cell's label.
+        """
+        now = np.asarray(pairs, dtype=np.float64)
+        places, ids = distinct_places(pairs)
+        stale = self.placed.copy()
+        # While some centroids share a place, all but one of them are left out of the bounds.
+        if self._last is not None and len(places) == len(pairs):
+            moved = moves_km("euclidean", self._last, now)
+            most = np.sort(moved)[-2:]
+            # The farthest move of the others is the second farthest for whom moved farthest.
+            others = np.where(moved == most[-1], most[0], most[-1]) if len(moved) > 1 else np.zeros(1)
+            settled = self.placed & (self.slack > 0)
+            self.slack[settled] -= (moved + others)[self.label[settled]] + _ROUNDING_KM
+            stale &= self.slack <= 0
+        self._last = now if len(places) == len(pairs) else None
+        which = np.flatnonzero(stale)
+        label, best, second = nearest_two(positions(places), self.centre[which])
+        self.label[which] = ids[label]
+        self.slack[which] = second - best - 2 * self.radius[which] - _ROUNDING_KM
+        self.judged += len(which)
+
+    def contested(self) -> np.ndarray:
+        return self.placed & (self.slack <= 0)
+
+    def totals(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Number of points and sums of the settled cells of each cluster."""
+        settled = self.placed & (self.slack > 0)
+        label, n = self.label[settled], np.zeros(k, dtype=np.int64)
+        np.add.at(n, label, self.n[settled])
+        sums = [np.bincount(label, self.sums[settled, axis], k) for axis in range(2)]
+        return n, np.column_stack(sums)
+
+
+def border_points(tiled: DataFrame, tile: np.ndarray, cell: np.ndarray) -> DataFrame:
+    """The points of some cells. Their tiles are constants, so other folders are not read."""
+    # At most MAX_CELLS rows of one integer, so broadcasting is safe at any scale.
+    wanted = tiled.sparkSession.createDataFrame(pa.table({"_cell": pa.array(cell, pa.int32())}))
+    inside = tiled.where(F.col("_tile").isin(sorted({int(t) for t in tile})))
+    return inside.join(F.broadcast(wanted), "_cell", "left_semi").select("latitude", "longitude")
+
+
+def tiled_pass(tiled: DataFrame, metric: str, float32: bool) -> Callable[[Centroids], list[dict]]:
     """A pass over the cells, and over the points of contested cells only."""
-    placed_cells = place(cells)
-
-    def run(pairs: Centroids) -> list[Row]:
-        # Read twice, once for its sums and once to pick points.
-        judged = judge_cells(placed_cells, pairs).persist()
-        try:
-            return finish(_means(tiled, judged, pairs), pairs).collect()
-        finally:
-            judged.unpersist()
-
+    cells = Cells(summarise(tiled))
+
+    def run(pairs: Centroids) -> list[dict]:
+        cells.settle(pairs)
+        n, sums = cells.totals(len(pairs))
+        contested = cells.contested()
+        if contested.any():
+            points = border_points(tiled, cells.tile[contested], cells.cell[contested])
+            labelled = label_placed(place(points), ["latitude", "longitude"], pairs)
+            found = labelled.groupBy("cluster_id").agg(
+                F.count(F.lit(1)).alias("n"), F.sum("latitude").alias("latitude"), F.sum("longitude").alias("longitude")
+            )
+            for r in found.collect():
+                n[r["cluster_id"]] += r["n"]
+                sums[r["cluster_id"]] += r["latitude"], r["longitude"]
+        old, used = np.asarray(pairs, dtype=np.float64), np.flatnonzero(n)
+        means = sums[used] / n[used, None]
+        if float32:
+            means = means.astype(np.float32).astype(np.float64)
+        moved = moves_km(metric, old[used], means) if len(used) else []
+        rows = [
+            {"cluster_id": int(i), "n_points": int(n[i]), "latitude": float(m[0]), "longitude": float(m[1]), "displacement_km": float(km)}
+            for i, m, km in zip(used, means, moved, strict=True)
+        ]
+        nowhere = int(cells.n[~cells.placed].sum())
+        return rows + ([{"cluster_id": None, "n_points": nowhere}] if nowhere else [])
+
+    run.cells = cells
     return run
-
-
-def _means(tiled: DataFrame, judged: DataFrame, pairs: Centroids) -> DataFrame:
-    settled = judged.filter("slack_km > 0").select(
-        "cluster_id", "n", "sum_latitude", "sum_longitude"
-    )
-    # At most MAX_CELLS rows of two integers, so broadcasting is safe at any scale.
-    # Spark prunes tiles only if this side is filtered by a comparison.
-    contested = judged.filter("slack_km <= 0").select("_tile", "_cell")
-    near_border = tiled.join(F.broadcast(contested), ["_tile", "_cell"], "left_semi").select(
-        "latitude", "longitude"
-    )
-    labelled = label_placed(place(near_border), ["latitude", "longitude"], pairs)
-    one_by_one = labelled.groupBy("cluster_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("latitude").alias("sum_latitude"),
-        F.sum("longitude").alias("sum_longitude"),
-    )
-    sums = settled.unionByName(one_by_one).groupBy("cluster_id").agg(
-        F.sum("n").alias("n_points"),
-        F.sum("sum_latitude").alias("sum_latitude"),
-        F.sum("sum_longitude").alias("sum_longitude"),
-    )
-    return sums.selectExpr(
-        "cluster_id",
-        "n_points",
-        "sum_latitude / n_points AS latitude",
-        "sum_longitude / n_points AS longitude",
-    )
-
-
-def judge_cells(placed_cells: DataFrame, pairs: Centroids) -> DataFrame:
-    """Nearest centroid of each cell's centre; a positive slack extends it to all points.
-
-    Points without a place form a cell of their own, with no label and nothing to decide.
-
-    Copies of a centroid are left out, or every cell around them would look contested.
-    """
-    found = nearest_two(*distinct_places(pairs))
-    judged = placed_cells.withColumn("_found", found("_x", "_y", "_z"))
-    gap = F.col("_found.second") - F.col("_found.best")
-    slack = gap - 2 * F.col("radius_km") - _ROUNDING_KM
-    no_place = F.col("_cell") == _NO_PLACE
-    return judged.select(
-        "_tile",
-        "_cell",
-        "n",
-        "sum_latitude",
-        "sum_longitude",
-        F.when(~no_place, F.col("_found.label")).alias("cluster_id"),
-        F.when(no_place, float("inf")).otherwise(slack).alias("slack_km"),
-    )

@@ -2,10 +2,13 @@ import io
 import math
 from contextlib import redirect_stdout
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spheremeans.operators.assign import UNROLL_LIMIT, assign, centroid_list
+from spheremeans.operators import index
+from spheremeans.operators.assign import UNROLL_LIMIT, assign, centroid_list, positions, searcher
+from spheremeans.operators.index import tree_search
 
 SCHEMA = "point_id bigint, latitude double, longitude double"
 
@@ -109,3 +112,60 @@ def test_centroid_checks(spark):
         centroid_list([])
     with pytest.raises(ValueError, match="finite"):
         centroid_list([(1.0, float("nan"))])
+
+
+def some_positions(n, seed):
+    rng = np.random.default_rng(seed)
+    return positions(np.column_stack([np.degrees(np.arcsin(rng.uniform(-1, 1, n))), rng.uniform(-180, 180, n)]))
+
+
+@pytest.mark.parametrize("k", [1, 2, 11, 12, 13, 100, 1000, 5000])
+def test_tree_finds_the_nearest(k):
+    centres, points = some_positions(k, 1), some_positions(3000, 2)
+    points[:500] = centres[np.arange(500) % k]  # on a centroid
+    label, distance, measured = tree_search(centres)(points)
+    exact = np.sqrt(((points[:, None] - centres) ** 2).sum(axis=2)) if k <= 1000 else None
+    if exact is not None:
+        assert (label == exact.argmin(axis=1)).all() and np.allclose(distance, exact.min(axis=1), atol=1e-9)
+    scan_label, scan_distance = searcher(places_of(centres), index_from=10**9)(points)
+    assert np.allclose(distance, scan_distance, atol=1e-6)
+    if k >= 1000:
+        assert measured <= k * len(points) / 10
+
+
+def places_of(xyz):
+    return np.column_stack([np.degrees(np.arcsin(xyz[:, 2] / 6371.0)), np.degrees(np.arctan2(xyz[:, 1], xyz[:, 0]))])
+
+
+def test_tree_gives_ties_to_the_lowest_row():
+    """Points on the equator between mirrored centroids, and centroids in several leaves at one place."""
+    pairs = np.array([(s * lat, lon) for lon in range(-170, 180, 10) for lat in (20.0, 40.0) for s in (-1, 1)])
+    centres = positions(pairs)
+    rng = np.random.default_rng(3)
+    for order in (np.arange(len(centres)), rng.permutation(len(centres))):
+        points = positions(np.column_stack([np.zeros(720), np.arange(-180, 180, 0.5)]))
+        label, distance, _ = tree_search(centres[order], leaf=2)(points)
+        squares = 0.0
+        for axis in range(3):
+            squares = squares + np.square(points[:, axis, None] - centres[order][:, axis])
+        exact = np.sqrt(squares)
+        assert (label == exact.argmin(axis=1)).all() and (distance == exact.min(axis=1)).all()
+
+
+def test_tree_far_from_all_centroids_holds_few_pairs(monkeypatch):
+    rng = np.random.default_rng(4)
+    centres = positions(rng.normal(0, 1, (4000, 2)) + (60, 10))
+    points = positions(rng.normal(0, 1, (600, 2)) + (-60, -170))
+    want = tree_search(centres)(points)
+    monkeypatch.setattr(index, "_MOST_PAIRS", 500)
+    got = tree_search(centres)(points)
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all() and got[2] == want[2]
+
+
+def test_all_forms_give_one_answer(spark):
+    points, centroids = some_points(500), some_centroids(150)
+    rows = [*points, (-1, None, 1.0), (-2, float("nan"), 1.0), (-3, 1.0, float("inf"))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    scan = assign(df, centroids, distance="km")
+    tree = assign(df, centroids, distance="km", index_from=1)
+    assert sorted(map(str, scan.collect())) == sorted(map(str, tree.collect()))
