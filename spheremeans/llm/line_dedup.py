@@ -55,8 +55,10 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_d
 
     holders = lines.select("_hash", "doc_id").distinct()
     keys = holders.groupBy("_hash").agg(F.count("*").alias("_docs"), F.min("doc_id").alias("_first"))
-    keys = keys.where(F.col("_docs") >= least_docs).select("_hash", "_first")
-    lost = lines.join(keys, "_hash").where(~F.col("doc_id").eqNullSafe(F.col("_first")))
+    # The name is new to the planner, so the keys get an exchange of their own. Between two such
+    # exchanges adaptive execution splits the task of a line that everybody holds.
+    keys = keys.where(F.col("_docs") >= least_docs).select(F.concat("_hash", F.lit(b"")).alias("_repeated"), "_first")
+    lost = lines.join(keys, F.col("_hash") == F.col("_repeated")).where(~F.col("doc_id").eqNullSafe(F.col("_first")))
     lost = lost.groupBy(F.col("doc_id").alias("_d"), F.col("_row").alias("_r")).agg(
         F.sort_array(F.collect_set("_at")).alias("_lost")
     )
