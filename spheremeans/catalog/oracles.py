@@ -73,14 +73,48 @@ def _nearest(view: str, seeds: str) -> str:
     )
 
 
+def _limbs(points: str) -> str:
+    """``points`` with coordinates cut into whole degrees and three binary limbs, by repeated truncation."""
+    out = points
+    for i in range(4):
+        rest = "{0}_rest" if i else "{0}"
+        part = f"trunc({rest}) as {{0}}_{i}" + (f", ({rest} - trunc({rest})) * 1048576e0 as {{0}}_next" if i < 3 else "")
+        parts = ", ".join(part.format(c) for c in ("latitude", "longitude"))
+        out = f"(select * {'exclude (latitude_rest, longitude_rest)' if i else ''}, {parts} from {out})"
+        if i < 3:
+            out = f"(select * rename (latitude_next as latitude_rest, longitude_next as longitude_rest) from {out})"
+    return out
+
+
+def _exact_mean(column: str, where: str = "true") -> str:
+    sums = [f"cast(sum(cast({column}_{i} as bigint)) filter (where {where}) as double)" for i in range(4)]
+    return (
+        f"({sums[0]} + ({sums[1]} + ({sums[2]} + {sums[3]} / 1048576e0) / 1048576e0) / 1048576e0)"
+        f" / count(*) filter (where {where})"
+    )
+
+
+_LIMB_COLUMNS = ", ".join(f"p.{c}_{i}" for c in ("latitude", "longitude") for i in range(4)) + ","
+
+
 def _loop(
-    view: str, seeds: str, metric: str = "euclidean", tol: float = 1.0, max_iter: int = 100, kind: str = "double"
+    view: str,
+    seeds: str,
+    metric: str = "euclidean",
+    tol: float = 1.0,
+    max_iter: int = 100,
+    kind: str = "double",
+    exact: bool = False,
 ) -> str:
     """CTE ``fit``: one row per iteration and cluster until the movement is small."""
     mean = "coalesce(cast(cast(avg({0}) filter (where rn = 1) as " + kind + ") as double), any_value(old_{0})) as {0}"
+    points, limbs = _points(view), ""
+    if exact:
+        mean = "coalesce(" + _exact_mean("{0}", "rn = 1") + ", any_value(old_{0})) as {0}"
+        points, limbs = f"{points.replace('pts as', 'pts0 as')}, pts as materialized {_limbs('pts0')}", _LIMB_COLUMNS
     km = _DISTANCE[metric]("old_latitude", "old_longitude", "latitude", "longitude")
     going = f"c.moved > {tol}e0 and c.iteration < {max_iter}"
-    return f"""with recursive {_points(view)}, {seeds},
+    return f"""with recursive {points}, {seeds},
     fit as (
         select 0 as iteration, cluster_id, cast(latitude as double) as latitude,
                cast(longitude as double) as longitude, cast(null as bigint) as n_points,
@@ -97,7 +131,7 @@ def _loop(
                        any_value(old_latitude) as old_latitude,
                        any_value(old_longitude) as old_longitude,
                        count(*) filter (where rn = 1) as n_points
-                from ({_ranked("fit", "c.iteration,", going)}) r
+                from ({_ranked("fit", f"c.iteration, {limbs}", going)}) r
                 group by iteration, cluster_id) m) n
     )"""
 
@@ -172,6 +206,25 @@ _DECIMAL = "regexp_matches(f[{0}], '^-?[0-9]+\\.[0-9]+') and try_cast(f[{0}] as
 _BOTH_DECIMAL = f"{_DECIMAL.format(1)} and {_DECIMAL.format(2)}"
 
 
+_ZERO = """case when try_cast({0} as double) is null then 'latitude is no number'
+                when try_cast({0} as double) = 0 then 'latitude is zero' end"""
+_REASONS = {
+    "space": (" +", "case when len(f) <> 3 then 'number of fields' end"),
+    "device": ("[,|/]", _ZERO.format("f[13]")),
+    "tab": (chr(92) + "t", _ZERO.format("f[1]")),
+    "comma": (
+        ",",
+        f"""case when not ({_DECIMAL.format(1)}) then 'latitude is no decimal number'
+                 when not ({_DECIMAL.format(2)}) then 'longitude is no decimal number' end""",
+    ),
+}
+_REJECTED = " union all ".join(
+    f"""select '{layout}' as layout, coalesce({reason}, 'kept') as reason, count(*) as n_lines
+        from ({_split(layout, pattern)} select * from split) group by 2"""
+    for layout, (pattern, reason) in _REASONS.items()
+)
+
+
 def _displacement(metric: str) -> str:
     return f"{_STEP} select round(sum({_DISTANCE[metric](*_PAIR)}), 6) as displacement_km from pairs"
 
@@ -235,6 +288,29 @@ ORACLES: dict[str, str] = {
     "kmeans_resumed": f"""{_loop("event_points", _SEEDS6)}
         select iteration, cluster_id, n_points, round(km, 6) as displacement_km, {_PLACE} from fit""",
     "kmeans_grid": _GRID,
+    "kmeans_exact": f"""{_loop("event_points", _SEEDS6, exact=True)}
+        select iteration, cluster_id, n_points, latitude, longitude from fit
+        where iteration = (select max(iteration) from fit)""",
+    "cluster_mean_exact": f"""{_nearest("lineitem_points", _table_seeds("region_seeds"))}
+        select cluster_id, count(*) as n_points, {_exact_mean("latitude")} as latitude,
+               {_exact_mean("longitude")} as longitude
+        from {_limbs("near")} group by cluster_id""",
+    "numbered_rows": f"""
+        select row_number() over (order by latitude, longitude) - 1 as row_id, {_PLACE}
+        from ({point_view_sql("lineitem_points")}) v""",
+    "rejected_lines": _REJECTED,
+    "box_points": f"""select point_id, {_PLACE} from ({point_view_sql("event_points")}) v
+        where latitude between -20 and 30 and (longitude >= 100 or longitude <= -150)""",
+    "map_pyramid": f"""{_NEAR},
+    cells as (
+        select zoom, cast(floor(greatest(0, least(63, floor((latitude + 90) / 180 * 64))) / pow(2, 6 - zoom)) as integer) as cell_row,
+               cast(floor(greatest(0, least(63, floor((longitude + 180) / 360 * 64))) / pow(2, 6 - zoom)) as integer) as cell_column,
+               cluster_id, latitude, longitude
+        from near, (select cast(unnest(range(7)) as integer) as zoom) z)
+    select zoom, cell_row, cell_column, cluster_id, count(*) as n_points,
+           round(count(*) / sum(count(*)) over (partition by zoom, cell_row, cell_column), 6) as share,
+           round(avg(latitude), 6) as latitude, round(avg(longitude), 6) as longitude
+    from cells group by zoom, cell_row, cell_column, cluster_id""",
     "float32_centroids": _final("event_points", _SEEDS6, tol=-1.0, max_iter=2, kind="float"),
     "kmeans_many_centroids": _final("customer_points", _drawn_seeds(100), tol=-1.0, max_iter=2),
     "kmeans_predict": f"""{_loop("event_points", _SEEDS6)},

@@ -14,12 +14,16 @@ from spheremeans.operators import centroids as cent
 from spheremeans.operators.assign import assign
 from spheremeans.operators.clusters import cluster_lists, cluster_points
 from spheremeans.operators.filters import decimal_shaped, has_fields, nonzero
+from spheremeans.operators.numbering import number_rows
 from spheremeans.plans import cleaning
 from spheremeans.plans.grid import fit_grid
 from spheremeans.plans.kmeans import CENTROID_SCHEMA, Model, fit
+from spheremeans.plans.pyramid import map_pyramid
 from spheremeans.sinks import points as sinks
+from spheremeans.sinks.layout import points_in_box, write_along_curve
 from spheremeans.sources import clusters as saved
 from spheremeans.sources import lines as scans
+from spheremeans.sources.ledger import clean_with_ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -241,6 +245,49 @@ def float32_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _final(_fit(spark, sf_dir, k=K, key=KEY, tol_km=-1.0, max_iter=2, float32_centroids=True))
 
 
+def cluster_mean_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Not rounded: sums are exact, so there is one answer whatever the partitions."""
+    points = point_view(spark, sf_dir, "lineitem_points").repartition(7)
+    means = cent.cluster_means(assign(points, point_view(spark, sf_dir, "region_seeds")), exact=True)
+    return means.select("cluster_id", "n_points", *PLACE)
+
+
+def kmeans_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Not rounded either, after all iterations."""
+    model = fit(_events(spark, sf_dir).repartition(5), K, key=KEY, exact=True)
+    last = model.history().filter(F.col("iteration") == model.iterations)
+    return last.select("iteration", "cluster_id", "n_points", *PLACE)
+
+
+def numbered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = point_view(spark, sf_dir, "lineitem_points")
+    return _rounded(number_rows(points, *PLACE), "row_id")
+
+
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept and rejected lines of each layout by reason, from one scan apiece."""
+    out = None
+    for layout in ("space", "device", "tab", "comma"):
+        cleaned = clean_with_ledger(spark, written_lines(spark, sf_dir, layout), layout, skip_first=layout != "device")
+        counts = cleaned.ledger().groupBy("reason").agg(F.sum("n_lines").alias("n_lines"))
+        counts = counts.unionByName(cleaned.points.agg(F.lit("kept").alias("reason"), F.count(F.lit(1)).alias("n_lines")))
+        counts = counts.select(F.lit(layout).alias("layout"), "reason", "n_lines")
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+def box_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box read from points stored along a curve."""
+    path = new_path(spark, "curve")
+    write_along_curve(_events(spark, sf_dir), path)
+    return _rounded(points_in_box(spark, path, -20.0, 30.0, 100.0, -150.0), KEY)
+
+
+def map_pyramid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = map_pyramid(_assigned(spark, sf_dir), 6)
+    return _rounded(found, "zoom", "cell_row", "cell_column", "cluster_id", "n_points", _r("share"))
+
+
 def kmeans_many_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _final(_fit(spark, sf_dir, "customer_points", k=100, key=KEY, tol_km=-1.0, max_iter=2))
 
@@ -379,6 +426,12 @@ QUERIES: dict[str, Query] = {
     "kmeans_tiles": kmeans_tiles,
     "kmeans_resumed": kmeans_resumed,
     "kmeans_grid": kmeans_grid,
+    "kmeans_exact": kmeans_exact,
+    "cluster_mean_exact": cluster_mean_exact,
+    "numbered_rows": numbered_rows,
+    "rejected_lines": rejected_lines,
+    "box_points": box_points,
+    "map_pyramid": map_pyramid_query,
     "float32_centroids": float32_centroids,
     "kmeans_many_centroids": kmeans_many_centroids,
     "kmeans_predict": kmeans_predict,

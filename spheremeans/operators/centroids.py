@@ -7,6 +7,7 @@ import random
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spheremeans.functions.exact import limb_sums, mean_of, with_limbs
 from spheremeans.functions.geo import distance_km, is_located
 from spheremeans.operators.sampling import lowest_copies, lowest_keys, lowest_places
 
@@ -45,12 +46,17 @@ def seed_centroids(
     return points.sparkSession.createDataFrame(rows, "cluster_id int, latitude double, longitude double")
 
 
-def cluster_means(assigned: DataFrame, label: str = "cluster_id") -> DataFrame:
+def cluster_means(assigned: DataFrame, label: str = "cluster_id", exact: bool = False) -> DataFrame:
     """Mean of degrees and number of points per cluster.
 
     Each task folds its points into at most one row per cluster before the
-    shuffle, so the size of a cluster does not matter.
+    shuffle, so the size of a cluster does not matter. ``exact`` sums are the same for any
+    order of the points, to the last digit of the means.
     """
+    if exact:
+        sums = with_limbs(assigned.select(label, "latitude", "longitude"), "latitude", "longitude")
+        sums = sums.groupBy(label).agg(F.count(F.lit(1)).alias("n_points"), *limb_sums("latitude", "longitude"))
+        return sums.select(label, mean_of("latitude", "n_points"), mean_of("longitude", "n_points"), "n_points")
     return assigned.groupBy(label).agg(
         F.avg("latitude").alias("latitude"),
         F.avg("longitude").alias("longitude"),

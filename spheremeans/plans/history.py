@@ -16,7 +16,7 @@ _ARROW = pa.schema(
     [("iteration", pa.int32()), ("cluster_id", pa.int32()), ("latitude", pa.float64()), ("longitude", pa.float64()),
      ("n_points", pa.int64()), ("displacement_km", pa.float64()), ("seconds", pa.float64()), ("n_unlocated", pa.int64())]
 )
-_SETTINGS_SCHEMA = "k int, metric string, float32_centroids boolean"
+_SETTINGS_SCHEMA = "k int, metric string, float32_centroids boolean, exact boolean"
 
 # Rows the driver holds before a history without a folder gets one.
 MOST_HELD = 200_000
@@ -35,11 +35,12 @@ class History:
         self._stored: list[str] = []
 
     @classmethod
-    def create(cls, spark: SparkSession, path: str, k: int, metric: str, float32_centroids: bool) -> History:
+    def create(cls, spark: SparkSession, path: str, *settings: object) -> History:
+        """``settings`` are k, metric, float32_centroids and exact, which a resumed fit takes over."""
         history = cls(spark, path)
         if history._names():
             raise ValueError(f"{path} already holds a history; resume from it or name another folder")
-        history._write([(k, metric, float32_centroids)], _SETTINGS_SCHEMA, "settings")
+        history._write([settings], _SETTINGS_SCHEMA, "settings")
         return history
 
     @classmethod

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from spheremeans.functions.exact import LIMBS, limb_names, limb_sums, means_of, with_limbs
 from spheremeans.functions.geo import EARTH_RADIUS_KM, is_located, moves_km
 from spheremeans.operators.assign import Centroids, distinct_places, label_placed, nearest_two, place, positions
 
@@ -36,6 +37,8 @@ _ROUNDING_KM = 1e-6
 
 _NO_PLACE = -1
 
+_AXES = ("latitude", "longitude")
+
 
 def _grid(degrees: float) -> Column:
     """Number of the grid square; coordinates off the map go to the border squares."""
@@ -62,8 +65,20 @@ def read_tiles(spark: SparkSession, path: str, points: DataFrame) -> DataFrame:
     return spark.read.schema(StructType([*points.schema.fields, *added])).parquet(path)
 
 
-def summarise(tiled: DataFrame) -> DataFrame:
+def _sum_names(exact: bool) -> list[str]:
+    return [c for n in _AXES for c in limb_names(n)] if exact else [f"sum_{n}" for n in _AXES]
+
+
+def _summed(points: DataFrame, exact: bool) -> tuple[DataFrame, list[Column]]:
+    """Points with what is summed up, and the sums, named by ``_sum_names``."""
+    if exact:
+        return with_limbs(points, *_AXES), limb_sums(*_AXES)
+    return points, [F.sum(n).alias(f"sum_{n}") for n in _AXES]
+
+
+def summarise(tiled: DataFrame, exact: bool = False) -> DataFrame:
     """One row per cell in use: sums, count, centre and radius."""
+    points, sums = _summed(tiled, exact)
     south, north, west, east = (F.col(c) for c in ("south", "north", "west", "east"))
     nearest_equator = F.when((south <= 0) & (north >= 0), 0.0).otherwise(
         F.least(F.abs(south), F.abs(north))
@@ -74,11 +89,10 @@ def summarise(tiled: DataFrame) -> DataFrame:
     # From the centre along the meridian, then along the parallel.
     radius = EARTH_RADIUS_KM * F.radians((north - south) / 2 + widest * (east - west) / 2)
     return (
-        tiled.groupBy("_tile", "_cell")
+        points.groupBy("_tile", "_cell")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum("latitude").alias("sum_latitude"),
-            F.sum("longitude").alias("sum_longitude"),
+            *sums,
             F.min("latitude").alias("south"),
             F.max("latitude").alias("north"),
             F.min("longitude").alias("west"),
@@ -88,8 +102,7 @@ def summarise(tiled: DataFrame) -> DataFrame:
             "_tile",
             "_cell",
             "n",
-            "sum_latitude",
-            "sum_longitude",
+            *_sum_names(exact),
             ((south + north) / 2).alias("latitude"),
             ((west + east) / 2).alias("longitude"),
             radius.alias("radius_km"),
@@ -100,11 +113,13 @@ def summarise(tiled: DataFrame) -> DataFrame:
 class Cells:
     """Sums and bounds of the cells in use, at most ``MAX_CELLS``, held by the driver."""
 
-    def __init__(self, summary: DataFrame) -> None:
-        table = summary.toArrow()
+    def __init__(self, tiled: DataFrame, exact: bool = False) -> None:
+        self.exact, self.columns = exact, _sum_names(exact)
+        table = summarise(tiled, exact).toArrow()
         column = {n: table.column(n).to_numpy(zero_copy_only=False) for n in table.column_names}
         self.tile, self.cell, self.n = column["_tile"], column["_cell"], column["n"]
-        self.sums = np.column_stack([column["sum_latitude"], column["sum_longitude"]])
+        # Only the cell of points without a place has no sums.
+        self.sums = np.column_stack([table.column(n).fill_null(0).to_numpy() for n in self.columns])
         self.placed = self.cell != _NO_PLACE
         centre = np.column_stack([column["latitude"], column["longitude"]])
         self.centre, self.radius = positions(np.where(self.placed[:, None], centre, 0.0)), column["radius_km"]
@@ -145,8 +160,14 @@ class Cells:
         settled = self.placed & (self.slack > 0)
         label, n = self.label[settled], np.zeros(k, dtype=np.int64)
         np.add.at(n, label, self.n[settled])
-        sums = [np.bincount(label, self.sums[settled, axis], k) for axis in range(2)]
-        return n, np.column_stack(sums)
+        sums = np.zeros((k, len(self.columns)), dtype=self.sums.dtype)
+        np.add.at(sums, label, self.sums[settled])
+        return n, sums
+
+    def means(self, n: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        if not self.exact:
+            return sums / n[:, None]
+        return np.column_stack([means_of(sums[:, :LIMBS], n), means_of(sums[:, LIMBS:], n)])
 
 
 def border_points(tiled: DataFrame, tile: np.ndarray, cell: np.ndarray) -> DataFrame:
@@ -157,9 +178,9 @@ def border_points(tiled: DataFrame, tile: np.ndarray, cell: np.ndarray) -> DataF
     return inside.join(F.broadcast(wanted), "_cell", "left_semi").select("latitude", "longitude")
 
 
-def tiled_pass(tiled: DataFrame, metric: str, float32: bool) -> Callable[[Centroids], list[dict]]:
+def tiled_pass(tiled: DataFrame, metric: str, float32: bool, exact: bool = False) -> Callable[[Centroids], list[dict]]:
     """A pass over the cells, and over the points of contested cells only."""
-    cells = Cells(summarise(tiled))
+    cells = Cells(tiled, exact)
 
     def run(pairs: Centroids) -> list[dict]:
         cells.settle(pairs)
@@ -168,14 +189,12 @@ def tiled_pass(tiled: DataFrame, metric: str, float32: bool) -> Callable[[Centro
         if contested.any():
             points = border_points(tiled, cells.tile[contested], cells.cell[contested])
             labelled = label_placed(place(points), ["latitude", "longitude"], pairs)
-            found = labelled.groupBy("cluster_id").agg(
-                F.count(F.lit(1)).alias("n"), F.sum("latitude").alias("latitude"), F.sum("longitude").alias("longitude")
-            )
-            for r in found.collect():
+            summed, aggregates = _summed(labelled, exact)
+            for r in summed.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), *aggregates).collect():
                 n[r["cluster_id"]] += r["n"]
-                sums[r["cluster_id"]] += r["latitude"], r["longitude"]
+                sums[r["cluster_id"]] += [r[c] for c in cells.columns]
         old, used = np.asarray(pairs, dtype=np.float64), np.flatnonzero(n)
-        means = sums[used] / n[used, None]
+        means = cells.means(n[used], sums[used])
         if float32:
             means = means.astype(np.float32).astype(np.float64)
         moved = moves_km(metric, old[used], means) if len(used) else []

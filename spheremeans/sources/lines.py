@@ -13,8 +13,10 @@ from spheremeans.functions import text
 from spheremeans.operators.filters import has_fields
 
 
-def read_lines(spark: SparkSession, path: str | list[str], skip_first: bool = False) -> DataFrame:
-    """One row per line that is not blank, column ``value``.
+def read_lines(
+    spark: SparkSession, path: str | list[str], skip_first: bool = False, with_file: bool = False
+) -> DataFrame:
+    """One row per line that is not blank, column ``value``, and ``file``, its path, if asked.
 
     With ``skip_first`` the first line of every file is left out. Spark only does
     that for CSV, hence a CSV scan of one column. A line that holds the separator
@@ -30,9 +32,12 @@ def read_lines(spark: SparkSession, path: str | list[str], skip_first: bool = Fa
             )
             .csv(path)
         )
-        lines = lines.select(F.coalesce("_corrupt_record", "value").alias("value"))
+        value = F.coalesce("_corrupt_record", "value").alias("value")
     else:
         lines = spark.read.option("lineSep", "\n").text(path)
+        value = F.col("value")
+    file = [F.col("_metadata.file_path").alias("file")] if with_file else []
+    lines = lines.select(value, *file)
     return lines.filter(F.col("value").rlike(text.NOT_BLANK))
 
 

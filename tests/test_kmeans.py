@@ -105,7 +105,7 @@ def sphere(spark):
 
 def test_settled_cells_are_right(spark, sphere):
     """Every point of a settled cell has the cell's label, through passes that carry the bounds."""
-    cells = tiles.Cells(tiles.summarise(sphere))
+    cells = tiles.Cells(sphere)
     assert len(cells.cell) <= tiles.MAX_CELLS
     place_of = {r["point_id"]: r["_cell"] for r in sphere.select("point_id", "_cell").collect()}
     start = [(80.0, 0.0), (-75.0, 100.0), (10.0, 179.0), (12.0, -60.0)]
@@ -127,7 +127,7 @@ def test_settled_cells_are_right(spark, sphere):
 
 
 def test_tile_pass_reads_only_border_tiles(sphere):
-    cells = tiles.Cells(tiles.summarise(sphere))
+    cells = tiles.Cells(sphere)
     cells.settle(INIT)
     contested = cells.contested()
     border = tiles.border_points(sphere, cells.tile[contested], cells.cell[contested])
