@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,29 @@ def pick(docs: DataFrame, **kinds: str) -> DataFrame:
     return docs.select(*(docs[name].cast(kind).alias(name) for name, kind in kinds.items()))
 
 
+def carries(*used: str) -> Callable[[Callable[[DataFrame], DataFrame]], Callable[[DataFrame], DataFrame]]:
+    """For a stage on ``used`` columns that returns rows of its table: takes any further columns.
+
+    They travel as one struct, so that no name of theirs meets one that the stage uses inside. A
+    MAP has no order and no equality in Spark, and is refused.
+    """
+
+    def wrap(stage: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+        @wraps(stage)
+        def run(docs: DataFrame) -> DataFrame:
+            maps = [c for c, kind in docs.dtypes if "map<" in kind]
+            if maps:
+                raise ValueError(f"columns of maps cannot be compared: {maps}")
+            own = [c for c in docs.columns if c in used]
+            others = [docs[f"`{c}`"] for c in docs.columns if c not in used]
+            out = stage(docs.select(*own, F.struct(*others).alias("further")) if others else docs)
+            return out.select(*(F.col(c) if c in used else F.col("further").getField(c).alias(c) for c in docs.columns))
+
+        return run
+
+    return wrap
+
+
 def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with about ``most_bytes`` of text each.
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, cut, text_slices
+from .common import LOWER, UPPER, carries, cut, text_slices
 from .words import bytes_of, fold_case, mix
 
 LEAST, MOST = 256, 16384
@@ -142,9 +142,11 @@ def find_duplicates(docs: DataFrame, digests: tuple[int, ...] = (16, 32, 0)) ->
     )
 
 
+@carries("doc_id", "text")
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that do not stay, in which rows that repeat an id once stay once.
 
+    Nulls, empty texts and an empty table are as in ``find_duplicates``; further columns stay as they are.
     Texts are not moved for ids that occur once: rows meet the decisions by id and digest.
     """
     columns = docs.columns

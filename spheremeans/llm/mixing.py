@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, cut
+from .common import WORD_PATTERN, carries, cut
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -131,10 +131,12 @@ def sample_copies(docs: DataFrame, carry: list[str], cell_rows: int = CELL_ROWS)
     )
 
 
+@carries("doc_id", "text", "source")
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: ``docs`` with each row as often as it was drawn, possibly never.
 
-    Equal rows are one row with the sum of their copies; texts are moved once.
+    Equal rows are one row with the sum of their copies; texts are moved once. Nulls, empty
+    texts and an empty table are as in ``sample_copies``; further columns stay as they are.
     """
     columns = docs.columns
     keyed = docs.withColumn("_key", F.xxhash64(*(docs[c] for c in columns)))

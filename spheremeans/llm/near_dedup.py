@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD_PATTERN, cut, text_slices
+from .common import WORD_PATTERN, carries, cut, text_slices
 from .words import mix, shingle_hashes, words_of
 
 SHINGLE = 5
@@ -374,11 +374,13 @@ def _with_node(batches):
             yield pa.RecordBatch.from_arrays([*part.columns, nodes], names=[*part.schema.names, "_node"])
 
 
+@carries("doc_id", "text")
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class, that of the smallest id; ids may repeat or be null.
 
     A class without any id keeps one row too, and every row without words stays. Of rows with
-    the same id and words the first in column order stays.
+    the same id and words the first in column order stays. An empty table gives no rows;
+    further columns stay as they are.
     """
     columns = docs.columns
     joined, _ = _members(docs, THRESHOLD, SHINGLE, ROWS, BANDS)

@@ -2,7 +2,10 @@ import pytest
 from pyspark.sql import types as T
 
 #: Columns whose names the operators use inside, to be carried or ignored.
-CLASHING = ["_key", "size", "row", "node", "length", "_row", "label", "bucket"]
+CLASHING = [
+    "_key", "size", "row", "node", "length", "_row", "label", "bucket", "_own", "_nth", "_node", "_d", "_k", "_n",
+    "_sha", "_copy", "_source", "_size", "_hash", "_id", "_cell", "_parts", "comp", "recipe", "further", "odd name",
+]
 
 
 @pytest.fixture(scope="session")

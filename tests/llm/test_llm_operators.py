@@ -572,6 +572,18 @@ def test_language_model_of_odd_rows(documents, odd_rows):
 # pipeline
 
 
+@pytest.mark.parametrize("stage", [ed.drop_duplicates, nd.drop_near_duplicates, mix_documents])
+def test_stages_keep_the_values_of_further_columns(spark, documents, stage):
+    names = documents([]).columns[4:]
+    rows = [(i, f"a text of its own, number {i} {i * 7} {i * 13} and {i * 17}", "en", "s") for i in range(12)]
+    docs = documents(rows).withColumns({n: F.concat(F.lit(f"{n} of "), F.col("doc_id")) for n in names})
+    got = stage(docs).distinct().collect()
+    assert got and {tuple(r) for r in got} <= {tuple(r) for r in docs.collect()}
+    assert len(got) == 12 or stage is mix_documents
+    with pytest.raises(ValueError, match="maps"):
+        stage(docs.withColumn("m", F.create_map(F.lit("a"), F.lit(1))))
+
+
 def test_stages_take_odd_rows(spark, documents, odd_rows):
     for rows in (odd_rows, []):
         docs = documents(rows)
@@ -579,4 +591,6 @@ def test_stages_take_odd_rows(spark, documents, odd_rows):
             out = stage(spark, docs, "")
             if name != "packing":
                 assert out.columns == docs.columns
+                came = {tuple(r) for r in docs.collect()}
+                assert {tuple(r) for r in out.collect()} <= came  # values, not only names
             docs = spark.createDataFrame([tuple(r) for r in out.collect()], out.schema)
