@@ -161,7 +161,7 @@ def fit(
     Seeds come from ``sample_seeds`` with ``seed``, ``key`` and ``draw``, or from ``init``.
 
     ``exact`` sums make the centroids independent of partitioning to their last digit, for
-    about a third more work in a pass; without, sums of doubles differ in the last digits.
+    about half more time in a pass; without, sums of doubles differ in the last digits.
 
     With ``history`` every iteration is appended to that folder as it ends, and the driver
     holds no more than two. ``resume`` names such a folder, takes k, metric and the last
