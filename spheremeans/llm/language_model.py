@@ -1,10 +1,11 @@
 """A gated recurrent language model over words, and the log-likelihood of whole texts.
 
 Tokens are words (A-Z in lower case) and one end for each text. The output softmax is factored
-by class: the ``HEAD`` most frequent tokens fall into classes of 64 by rank and are told
-apart by the network; every other word belongs to one of ``SHAPES`` classes by its last two bytes
-and length. Within such a class a word has its share of the class's training tokens, less
-the share that singletons suggest for words never seen; all unseen words of a class are one token.
+by class: the ``HEAD`` most frequent tokens fall into classes of 64 by rank, all other words are
+one further class. Within a class the network tells the tokens apart, and in the last one
+``SHAPES`` shapes, by a word's last two bytes and length. Within a shape a word has its share of the
+shape's training tokens, less the share that singletons suggest for words never seen; all unseen
+words of a shape are one token.
 
 Counts cover every training text. The network starts from them and is trained by truncated
 backpropagation in NumPy, on all tokens of every training text, cut into consecutive stretches:
@@ -32,8 +33,8 @@ SHAPES = 96
 TABLE = 131072  # most frequent words whose counts go to every task
 EMBED, HIDDEN = 16, 32
 WINDOW, STRETCH = 32, 2  # a training stretch is so many windows of so many tokens
-LANES, BATCH = 160, 64
-ROUNDS, EPOCHS, RATE = 2, 1, 0.015  # ROUNDS: the least there are
+LANES, BATCH = 160, 128
+ROUNDS, EPOCHS, RATE = 2, 1, 0.02  # ROUNDS: the least there are
 TRAINER_ROWS = 4096  # stretches that one copy is trained on in a round
 MOST_PARTITIONS = 16384  # of a round; a task then trains several copies in turn
 AVERAGED = 32  # copies that one task averages, and that come to the driver
@@ -50,6 +51,23 @@ def word_codes(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return words.hashes(), (mix(key) % np.uint64(SHAPES)).astype(np.int64)
 
 
+def _choose(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, chosen: np.ndarray, with_gradients: bool):
+    """Log softmax of each row's choice, and the gradients of states, weights and bias."""
+    rows = np.arange(len(chosen))
+    logits = states @ weights.T
+    logits += bias
+    logits -= logits.max(axis=1, keepdims=True)
+    log_p = logits[rows, chosen]
+    e = np.exp(logits, out=logits)
+    total = e.sum(axis=1)
+    log_p -= np.log(total)
+    if not with_gradients:
+        return log_p, None
+    e /= total[:, None]
+    e[rows, chosen] -= 1
+    return log_p, (e @ weights, e.T @ states, e.sum(axis=0))
+
+
 class GatedModel:
     """A GRU with a class-factored softmax; ``p`` holds its arrays."""
 
@@ -59,7 +77,7 @@ class GatedModel:
         self.p = p
 
     @classmethod
-    def start(cls, class_logits: np.ndarray, word_logits: np.ndarray, seed: int = 3) -> GatedModel:
+    def start(cls, class_logits: np.ndarray, token_logits: np.ndarray, seed: int = 3) -> GatedModel:
         rng = np.random.default_rng(seed)
         draw = lambda *s, scale: (rng.normal(size=s) * scale).astype(np.float32)
         p = {
@@ -67,10 +85,10 @@ class GatedModel:
             "wx": draw(EMBED, 3 * HIDDEN, scale=EMBED**-0.5),
             "wh": draw(HIDDEN, 3 * HIDDEN, scale=HIDDEN**-0.5),
             "b": np.zeros(3 * HIDDEN, np.float32),
-            "cw": np.zeros((HIDDEN, HEAD_CLASSES + SHAPES), np.float32),
+            "cw": np.zeros((HIDDEN, HEAD_CLASSES + 1), np.float32),
             "cb": class_logits.astype(np.float32),
-            "ow": np.zeros((HEAD, HIDDEN), np.float32),
-            "ob": word_logits.astype(np.float32),
+            "ow": np.zeros((HEAD + SHAPES, HIDDEN), np.float32),
+            "ob": token_logits.astype(np.float32),
         }
         p["b"][:HIDDEN] = 1.0  # remember at first
         return cls(p)
@@ -90,99 +108,99 @@ class GatedModel:
         return self.p["emb"] @ self.p["wx"] + self.p["b"]
 
     def step(self, gates: np.ndarray, h: np.ndarray):
+        """The next state, and the gates z and r side by side, the candidate, and its part from h."""
         from_h = h @ self.p["wh"]
-        zr = 1 / (1 + np.exp(-(gates[:, : 2 * HIDDEN] + from_h[:, : 2 * HIDDEN])))
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(gates[:, 2 * HIDDEN :] + r * from_h[:, 2 * HIDDEN :])
-        return n + z * (h - n), (z, r, n, from_h[:, 2 * HIDDEN :], h)
+        zr = gates[:, : 2 * HIDDEN] + from_h[:, : 2 * HIDDEN]
+        np.exp(np.negative(zr, out=zr), out=zr)
+        zr += 1
+        np.divide(1, zr, out=zr)
+        from_n = from_h[:, 2 * HIDDEN :]
+        n = zr[:, HIDDEN:] * from_n
+        n += gates[:, 2 * HIDDEN :]
+        np.tanh(n, out=n)
+        after = h - n
+        after *= zr[:, :HIDDEN]
+        after += n
+        return after, (zr, n, from_n)
 
     @staticmethod
     def class_of(y: np.ndarray) -> np.ndarray:
-        return np.where(y < HEAD, y // CLASS_SIZE, HEAD_CLASSES + y - HEAD)
+        return np.minimum(y // CLASS_SIZE, HEAD_CLASSES)
 
     def log_probabilities(self, states: np.ndarray, y: np.ndarray, gradients: dict | None = None):
-        """Natural log probability of each y; for head tokens the word, for others the class.
+        """Natural log probability of each y: its class, and the token or shape within.
 
         With ``gradients`` it also adds the loss gradients and returns that of the states.
         """
         p, cls = self.p, self.class_of(y)
-        rows = np.arange(len(y))
-        logits = states @ p["cw"]
-        logits += p["cb"]
-        logits -= logits.max(axis=1, keepdims=True)
-        out = logits[rows, cls]
-        e = np.exp(logits, out=logits)
-        total = e.sum(axis=1)
-        out = out - np.log(total)
-        back = None
-        if gradients is not None:
-            d = e / total[:, None]
-            d[rows, cls] -= 1
-            gradients["cw"] += states.T @ d
-            gradients["cb"] += d.sum(axis=0)
-            back = d @ p["cw"].T
         order = np.argsort(cls, kind="stable")
-        upto = np.searchsorted(cls[order], np.arange(HEAD_CLASSES + 1))
-        for c in range(HEAD_CLASSES):
-            these = order[upto[c] : upto[c + 1]]
-            if not len(these):
+        # In the order of classes, so that each class is a slice.
+        states, y, cls = states[order], y[order], cls[order]
+        log_p, back = _choose(states, p["cw"].T, p["cb"], cls, gradients is not None)
+        if gradients is not None:
+            back, d_weights, d_bias = back
+            gradients["cw"] += d_weights.T
+            gradients["cb"] += d_bias
+        upto = np.searchsorted(cls, np.arange(HEAD_CLASSES + 2))
+        for c in range(HEAD_CLASSES + 1):
+            own = slice(upto[c], upto[c + 1])
+            if own.start == own.stop:
                 continue
-            span = slice(c * CLASS_SIZE, (c + 1) * CLASS_SIZE)
-            own = states[these] @ p["ow"][span].T
-            own += p["ob"][span]
-            own -= own.max(axis=1, keepdims=True)
-            at = y[these] - c * CLASS_SIZE
-            k = np.arange(len(these))
-            chosen = own[k, at]
-            e = np.exp(own, out=own)
-            total = e.sum(axis=1)
-            out[these] += chosen - np.log(total)
+            span = slice(c * CLASS_SIZE, (c + 1) * CLASS_SIZE if c < HEAD_CLASSES else HEAD + SHAPES)
+            within, d = _choose(states[own], p["ow"][span], p["ob"][span], y[own] - span.start, gradients is not None)
+            log_p[own] += within
             if gradients is not None:
-                d = e / total[:, None]
-                d[k, at] -= 1
-                gradients["ow"][span] += d.T @ states[these]
-                gradients["ob"][span] += d.sum(axis=0)
-                back[these] += d @ p["ow"][span]
+                back[own] += d[0]
+                gradients["ow"][span] += d[1]
+                gradients["ob"][span] += d[2]
+        out = np.empty_like(log_p)
+        out[order] = log_p
+        if gradients is not None:
+            d_states = np.empty_like(back)
+            d_states[order] = back
+            back = d_states
         return out, back
 
     def window_gradients(self, x: np.ndarray, y: np.ndarray, h: np.ndarray):
         """x, y: time x lanes, y < 0 where there is no token. Gradients, the last state, tokens."""
         p = self.p
         g = {n: np.zeros_like(v) for n, v in p.items()}
-        table, kept, states = self.table(), [], []
+        table = self.table()
+        states = np.empty((len(x) + 1, *h.shape), h.dtype)  # the one before the window first
+        states[0] = h
+        zr = np.empty((*x.shape, 2 * HIDDEN), h.dtype)
+        n, from_n = np.empty((*x.shape, HIDDEN), h.dtype), np.empty((*x.shape, HIDDEN), h.dtype)
         for t in range(len(x)):
-            h, memory = self.step(table[x[t]], h)
-            kept.append(memory)
-            states.append(h)
-        states = np.stack(states)
+            states[t + 1], (zr[t], n[t], from_n[t]) = self.step(table[x[t]], states[t])
         real = y >= 0
-        _, back = self.log_probabilities(states[real], y[real], g)
-        d_states = np.zeros_like(states)
-        d_states[real] = back
-        d_gates = np.zeros((*x.shape, 3 * HIDDEN), np.float32)
-        through = np.empty_like(d_gates)
+        d_states = np.zeros_like(states[1:])
+        d_states[real] = self.log_probabilities(states[1:][real], y[real], g)[1]
+
+        # What each gate makes of a state's gradient, for all times at once; only the carry goes step by step.
+        z, r = zr[..., :HIDDEN], zr[..., HIDDEN:]
+        by_n = (1 - z) * (1 - n * n)
+        by_gates = np.concatenate([(states[:-1] - n) * z * (1 - z), by_n * from_n * r * (1 - r), by_n * r], axis=-1)
+        through = np.empty_like(by_gates)
+        back_h = np.ascontiguousarray(p["wh"].T)
         carry = np.zeros_like(h)
         for t in reversed(range(len(x))):
-            z, r, n, from_n, before = kept[t]
-            d = d_states[t] + carry
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * from_n * r * (1 - r)
-            d_gates[t, :, :HIDDEN] = through[t, :, :HIDDEN] = dz
-            d_gates[t, :, HIDDEN : 2 * HIDDEN] = through[t, :, HIDDEN : 2 * HIDDEN] = dr
-            d_gates[t, :, 2 * HIDDEN :] = dn
-            through[t, :, 2 * HIDDEN :] = dn * r
-            carry = d * z + through[t] @ p["wh"].T
-        g["wh"] += np.concatenate([k[4] for k in kept]).T @ through.reshape(-1, 3 * HIDDEN)
+            d_states[t] += carry
+            d = d_states[t]
+            np.multiply(by_gates[t].reshape(-1, 3, HIDDEN), d[:, None, :], out=through[t].reshape(-1, 3, HIDDEN))
+            carry = through[t] @ back_h
+            carry += d * z[t]
+        g["wh"] += states[:-1].reshape(-1, HIDDEN).T @ through.reshape(-1, 3 * HIDDEN)
+        d_gates = through
+        d_gates[..., 2 * HIDDEN :] = d_states * by_n
         flat = d_gates.reshape(-1, 3 * HIDDEN)
-        per_token = np.zeros((len(table), 3 * HIDDEN), np.float32)
+        per_token = np.zeros((len(table), 3 * HIDDEN), flat.dtype)
         order = np.argsort(x, axis=None, kind="stable")
         names, first = np.unique(x.ravel()[order], return_index=True)
         per_token[names] = np.add.reduceat(flat[order], first)
         g["b"] += flat.sum(axis=0)
         g["wx"] += p["emb"].T @ per_token
         g["emb"] += per_token @ p["wx"].T
-        return g, h, int(real.sum())
+        return g, states[-1], int(real.sum())
 
     def train(self, stretches: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, seed: int = 5) -> GatedModel:
         """stretches: rows of tokens, the first one only given; -1 after a text's end."""
@@ -202,13 +220,22 @@ class GatedModel:
                     if not n:
                         continue
                     step += 1
-                    norm = np.sqrt(sum(float((w / n).ravel() @ (w / n).ravel()) for w in g.values()))
+                    norm = np.sqrt(sum(float(w.ravel() @ w.ravel()) for w in g.values())) / n
                     scale = min(1.0, 1.0 / max(norm, 1e-9)) / n
+                    first, second = rate / (1 - 0.9**step), 1 / (1 - 0.99**step)
                     for k, w in g.items():
                         w *= scale
-                        m[k] += 0.1 * (w - m[k])
-                        v[k] += 0.01 * (w * w - v[k])
-                        self.p[k] -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)
+                        m[k] *= 0.9
+                        m[k] += 0.1 * w
+                        w *= w
+                        w *= 0.01
+                        v[k] *= 0.99
+                        v[k] += w
+                        np.sqrt(np.multiply(v[k], second, out=w), out=w)
+                        w += 1e-6
+                        np.divide(m[k], w, out=w)
+                        w *= first
+                        self.p[k] -= w
         return self
 
     def score(self, tokens: np.ndarray, begins: np.ndarray, end_token: int) -> np.ndarray:
@@ -516,8 +543,9 @@ def score_texts(docs: DataFrame, parts: int = 5, held_out: int = 1) -> DataFrame
         mass[shape], once[shape] = n, single
     unseen = (once + 1) / (mass + 2)
     word_n = np.array([n for _, _, n in heads] + [0] * (HEAD - len(heads)), dtype=float)
-    class_n = np.concatenate([word_n.reshape(HEAD_CLASSES, CLASS_SIZE).sum(axis=1), mass])
-    model = GatedModel.start(np.log(class_n + 0.5), np.log(word_n + 1e-3))
+    class_n = np.append(word_n.reshape(HEAD_CLASSES, CLASS_SIZE).sum(axis=1), mass.sum())
+    token_n = np.concatenate([word_n + 1e-3, mass + 0.5])
+    model = GatedModel.start(np.log(class_n + 0.5), np.log(token_n))
 
     send = spark.sparkContext.broadcast
     head_b, token_b = send(head), send(head_token)  # HEAD entries

@@ -468,7 +468,7 @@ def test_language_masks_hold_more_than_64_languages(documents):
 
 def test_gradients_of_the_language_model():
     rng = np.random.default_rng(0)
-    model = lm.GatedModel.start(rng.normal(size=lm.HEAD_CLASSES + lm.SHAPES), rng.normal(size=lm.HEAD))
+    model = lm.GatedModel.start(rng.normal(size=lm.HEAD_CLASSES + 1), rng.normal(size=lm.HEAD + lm.SHAPES))
     for k, v in model.p.items():
         model.p[k] = v.astype(np.float64) + rng.normal(size=v.shape) * 0.1
     x, y = (rng.integers(0, lm.HEAD + lm.SHAPES, (5, 3)) for _ in range(2))
@@ -497,7 +497,7 @@ def test_gradients_of_the_language_model():
 
 def test_probabilities_of_the_language_model_sum_to_one():
     rng = np.random.default_rng(1)
-    model = lm.GatedModel.start(rng.normal(size=lm.HEAD_CLASSES + lm.SHAPES), rng.normal(size=lm.HEAD))
+    model = lm.GatedModel.start(rng.normal(size=lm.HEAD_CLASSES + 1), rng.normal(size=lm.HEAD + lm.SHAPES))
     every = np.arange(lm.HEAD + lm.SHAPES)
     logs, _ = model.log_probabilities(np.repeat(rng.normal(size=(1, lm.HIDDEN)), len(every), axis=0), every)
     assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
@@ -505,7 +505,7 @@ def test_probabilities_of_the_language_model_sum_to_one():
 
 def test_lanes_score_like_one_text_at_a_time():
     rng = np.random.default_rng(2)
-    model = lm.GatedModel.start(rng.normal(size=lm.HEAD_CLASSES + lm.SHAPES), rng.normal(size=lm.HEAD))
+    model = lm.GatedModel.start(rng.normal(size=lm.HEAD_CLASSES + 1), rng.normal(size=lm.HEAD + lm.SHAPES))
     model.p["cw"] = rng.normal(size=model.p["cw"].shape).astype(np.float32)
     sizes = np.append(rng.integers(1, 200, 300), 1000)
     begins = np.concatenate([[0], np.cumsum(sizes)])
