@@ -59,13 +59,13 @@ def _choose(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, chosen: n
     logits -= logits.max(axis=1, keepdims=True)
     log_p = logits[rows, chosen]
     e = np.exp(logits, out=logits)
-    total = e.sum(axis=1)
+    total = e @ np.ones(e.shape[1], e.dtype)
     log_p -= np.log(total)
     if not with_gradients:
         return log_p, None
     e /= total[:, None]
     e[rows, chosen] -= 1
-    return log_p, (e @ weights, e.T @ states, e.sum(axis=0))
+    return log_p, (e @ weights, e.T @ states, np.ones(len(e), e.dtype) @ e)
 
 
 class GatedModel:
@@ -193,13 +193,12 @@ class GatedModel:
         d_gates = through
         d_gates[..., 2 * HIDDEN :] = d_states * by_n
         flat = d_gates.reshape(-1, 3 * HIDDEN)
-        per_token = np.zeros((len(table), 3 * HIDDEN), flat.dtype)
-        order = np.argsort(x, axis=None, kind="stable")
-        names, first = np.unique(x.ravel()[order], return_index=True)
-        per_token[names] = np.add.reduceat(flat[order], first)
-        g["b"] += flat.sum(axis=0)
-        g["wx"] += p["emb"].T @ per_token
-        g["emb"] += per_token @ p["wx"].T
+        tokens = x.ravel()
+        order = np.argsort(tokens, kind="stable")
+        names, first = np.unique(tokens[order], return_index=True)
+        g["b"] += np.ones(len(flat), flat.dtype) @ flat
+        g["wx"] += p["emb"][tokens].T @ flat
+        g["emb"][names] += np.add.reduceat((flat @ p["wx"].T)[order], first)
         return g, states[-1], int(real.sum())
 
     def train(self, stretches: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, seed: int = 5) -> GatedModel:
@@ -449,7 +448,7 @@ def _score(batches, model, head, head_token, table_words, table_counts, shape_un
     for batch in batches:
         for part in text_slices(batch, "text", 12 << 20):
             # Hashing holds many bytes for each of the text's, the network few for each token.
-            tokens, sizes, own, base, known, asked, asks = ([] for _ in range(7))
+            tokens, sizes, own, base, known, asked, times, asks = ([] for _ in range(8))
             for small in text_slices(part, "text"):
                 n = small.num_rows
                 seq, begins, h, shape, doc = _sequences(small.column("text"), head.value, head_token.value)
@@ -465,8 +464,14 @@ def _score(batches, model, head, head_token, table_words, table_counts, shape_un
                 known.append(np.bincount(doc, weights=c > 0, minlength=n).astype(np.int64) + int(end_count > 0))
                 tokens.append(seq.astype(np.int16))
                 sizes.append(np.diff(begins))
-                asked.append(h[c == 0])
-                asks.append(np.bincount(doc[c == 0], minlength=n))
+                rare = np.flatnonzero(c == 0)
+                rare = rare[np.lexsort((h[rare], doc[rare]))]
+                fresh = np.ones(len(rare), dtype=bool)  # a word is asked for once a text
+                fresh[1:] = (h[rare][1:] != h[rare][:-1]) | (doc[rare][1:] != doc[rare][:-1])
+                at = np.flatnonzero(fresh)
+                asked.append(h[rare[at]])
+                times.append(np.diff(np.append(at, len(rare))))
+                asks.append(np.bincount(doc[rare[at]], minlength=n))
             sizes = np.concatenate(sizes)
             own = np.concatenate(own) + net.score(np.concatenate(tokens), np.concatenate([[0], np.cumsum(sizes)]), end_token) / np.log(10)
             cuts = np.concatenate([[0], np.cumsum(np.concatenate(asks))]).astype(np.int32)
@@ -480,8 +485,9 @@ def _score(batches, model, head, head_token, table_words, table_counts, shape_un
                     pa.array(np.concatenate(base)),
                     pa.array(own),
                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(asked).view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(times).astype(np.int32))),
                 ],
-                names=["doc_id", "held_out", "row", "n_tokens", "n_known", "base_score", "score", "ask"],
+                names=["doc_id", "held_out", "row", "n_tokens", "n_known", "base_score", "score", "word", "times"],
             )
 
 
@@ -557,11 +563,11 @@ def score_texts(docs: DataFrame, parts: int = 5, held_out: int = 1) -> DataFrame
         _score, model=send(model), head=head_b, head_token=token_b, table_words=send(known), table_counts=send(known_counts),
         shape_unseen=unseen, shape_mass=mass, tokens_n=tokens_n, types_n=types_n,
     )
-    schema = "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base_score double, score double, ask array<long>"
+    schema = "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base_score double, score double, word array<long>, times array<int>"
     scored = cut(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(work, schema))
 
     # Rarer words meet their counts where both are hashed to.
-    asked = scored.select("row", F.explode("ask").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times"))
+    asked = scored.select("row", F.inline(F.arrays_zip("word", "times")))
     shape_table = spark.createDataFrame([(i, float(unseen[i]), float(mass[i])) for i in range(SHAPES)], "shape int, unseen double, mass double")
     found = asked.join(counts, "word").join(F.broadcast(shape_table), "shape")
     times, c = F.col("times"), F.col("n")
@@ -571,7 +577,7 @@ def score_texts(docs: DataFrame, parts: int = 5, held_out: int = 1) -> DataFrame
         F.lit(None).cast("long").alias("doc_id"),
         F.lit(None).cast("boolean").alias("held_out"),
         F.lit(0).cast("long").alias("n_tokens"),
-        times.alias("n_known"),
+        times.cast("long").alias("n_known"),
         (times * (F.log10(c + 0.5) - F.log10(F.lit(0.5)))).alias("base_score"),
         (times * gain).alias("score"),
     )
