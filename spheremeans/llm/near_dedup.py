@@ -18,7 +18,8 @@ Links are found without expanding groups of copies:
 2. Nodes meet in buckets of equal bands. Every bucket has a hub, its node with most company,
    and each node is verified against the hub it shares most bands with: one pair for a node.
 3. What is still apart within a bucket after joining verified links is compared register by
-   register inside the task, in blocks of bounded size. Where an estimate comes within four
+   register inside the task, in blocks of bounded size. The largest class of a bucket stays in its
+   blocks and meets the others there, so one odd node costs one row for each block. Where an estimate comes within four
    standard errors of the threshold, the two texts meet in a task of the same block and are
    verified there. Pairs are no rows; only links come out.
 
@@ -228,10 +229,12 @@ class _Block:
         self.least = least * m
 
     def candidates(self):
-        """For each x the others of a different class whose registers agree often enough."""
-        for x in np.flatnonzero(self.block == self.i):
-            second = self.block == self.j if self.i != self.j else np.arange(len(self.comp)) > x
-            rest = np.flatnonzero((self.comp != self.comp[x]) & second)
+        """For each x of the smaller part the others of a different class whose registers agree often enough."""
+        first, second = np.flatnonzero(self.block == self.i), np.flatnonzero(self.block == self.j)
+        if len(first) > len(second):
+            first, second = second, first
+        for x in first:
+            rest = second[(self.comp[second] != self.comp[x]) & ((self.i != self.j) | (second > x))]
             if not len(rest):
                 continue
             good = rest[(self.s[rest] == self.s[x]).sum(axis=1) >= self.least]
@@ -272,6 +275,39 @@ def _links_in_block(table: pa.Table, m: int, least: float, threshold: float, siz
     return pa.table({"a": block.node.take(pa.array(out_a, pa.int64())), "b": block.node.take(pa.array(out_b, pa.int64()))})
 
 
+def in_blocks(hits: DataFrame, registers: DataFrame, comps: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The nodes of buckets that hold several classes, once for each pair of parts that they are compared in.
+
+    A bucket's largest class and its other nodes are dealt to parts of about ``block`` nodes. Parts of
+    the largest class meet only parts of others, and those each other. With r nodes of other classes
+    among n, that is about n * (r / block + 1) + r * n / block rows.
+    """
+    placed = _with_comp(hits.select("bucket", "band", "node"), "node", comps, "comp")
+    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
+    placed = cut(placed.join(mixed, "bucket", "left_semi"))
+    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    split = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("n"))
+    split = split.select(
+        "bucket",
+        F.col("most.comp").alias("main"),
+        F.ceil(F.col("most.n") / block).cast("int").alias("mains"),
+        F.ceil((F.col("n") - F.col("most.n")) / block).cast("int").alias("odds"),
+    )
+    rows = placed.join(split, "bucket").join(registers, "node")
+    names = F.slice("bands", F.lit(1), F.col("band")) if "bands" in registers.columns else F.array().cast("array<long>")
+    stays = F.col("comp") == F.col("main")
+    place = F.xxhash64("node")
+    rows = rows.withColumns(
+        {
+            "earlier": names,
+            "block": F.when(stays, F.pmod(place, F.col("mains"))).otherwise(F.col("mains") + F.pmod(place, F.col("odds"))).cast("int"),
+            "other": F.explode(F.sequence(F.when(stays, F.col("mains")).otherwise(0), F.col("mains") + F.col("odds") - 1)),
+        }
+    )
+    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    return rows.select("bucket", "band", "i", "j", "block", "node", "comp", "registers", "earlier")
+
+
 def links_still_missing(
     hits: DataFrame,
     registers: DataFrame,
@@ -289,16 +325,7 @@ def links_still_missing(
     is then compared in the first band it shares only, without them in every one. Only buckets that hold several classes are looked at, and only
     texts with a candidate travel. Pairs never leave the task that compares them.
     """
-    placed = _with_comp(hits.select("bucket", "band", "node"), "node", comps, "comp")
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
-    mixed = mixed.where("lo <> hi").select("bucket", F.ceil(F.col("n") / block).cast("int").alias("g"))
-    rows = placed.join(mixed, "bucket").join(registers, "node")
-    names = F.slice("bands", F.lit(1), F.col("band")) if "bands" in registers.columns else F.array().cast("array<long>")
-    rows = rows.withColumn("earlier", names)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("g")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, g - 1)")))
-    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    rows = rows.select("bucket", "band", "i", "j", "block", "node", "comp", "registers", "earlier")
+    rows = in_blocks(hits, registers, comps, block)
     least = threshold - 4 * (threshold * (1 - threshold) / m) ** 0.5
     keys = ["bucket", "i", "j"]
     some = rows.groupBy(*keys).applyInArrow(lambda t: _with_candidates(t, m, least), rows.schema)

@@ -266,6 +266,26 @@ def test_blocks_of_a_large_bucket_meet(spark, block):
     assert got == {i: 0 for i in range(25)}
 
 
+@pytest.mark.parametrize("odd", [1, 7])
+def test_a_mixed_bucket_costs_rows_in_proportion(spark, odd):
+    n, block = 600, 20
+    node = lambda i: i.to_bytes(2, "big")
+    table = spark.createDataFrame([(node(i), b"\0" * 180) for i in range(n)], "node binary, registers binary")
+    hits = table.select(F.lit(1).cast("long").alias("bucket"), F.lit(0).alias("band"), "node")
+    comps = spark.createDataFrame([(node(i), node(0)) for i in range(n - odd)], "node binary, comp binary")
+    rows = [(r.i, r.j, r.block, r.node) for r in nd.in_blocks(hits, table, comps, block).collect()]
+    mains = -(-(n - odd) // block)
+    assert len(rows) == (n - odd) + odd * (mains + 1)  # the largest class travels once
+    members: dict = {}
+    for i, j, own, name in rows:
+        members.setdefault((i, j), []).append((own, int.from_bytes(name, "big")))
+    met = set()
+    for (i, j), own in members.items():
+        met |= {frozenset((x, y)) for p, x in own for q, y in own if (p, q) == (i, j) and x != y}
+    want = {frozenset((x, y)) for x in range(n - odd, n) for y in range(n) if x != y}
+    assert want <= met
+
+
 def test_equal_digests_of_an_earlier_band_hide_no_pair(spark):
     texts = [" ".join(["a"] * 3 + [f"w{k}" for k in range(100)] + [last]) for last in "xy"]
     kept = nd.sketch(2, *nd.weighted_shingles(pa.array(texts)), 180)
