@@ -20,6 +20,9 @@ _BYTE_BPE_PATTERN = (
 )
 
 
+LONGEST_KEPT = 64  # bytes of a unit that a memo keeps; longer ones, such as texts without spaces, seldom return
+
+
 def default_path(name: str) -> str:
     import public_tokenizers
 
@@ -61,8 +64,8 @@ class WordCounter:
     """Token counts by a tokenizer that drops white space and ignores case.
 
     Its split rule never joins across white space nor from a letter to an ASCII sign, so a
-    text's count is the sum over such units. The library counts each unit that the bounded
-    memo lacks; texts holding ``<|``, where special tokens could start, are encoded whole.
+    text's count is the sum over such units. The library counts each unit that the memo lacks, which
+    holds ``most_units`` of at most ``LONGEST_KEPT`` bytes and those of one call; texts holding ``<|``, where special tokens could start, are encoded whole.
     """
 
     def __init__(self, path: str, most_units: int = 500_000):
@@ -90,7 +93,7 @@ class WordCounter:
             names = [distinct[j] for j in these]
             found = self.count_whole([n.decode() for n in names])
             sizes[these] = found
-            known.update(zip(names, found.tolist(), strict=True))
+            known.update((n, k) for n, k in zip(names, found.tolist(), strict=True) if len(n) <= LONGEST_KEPT)
         upto = np.concatenate([[0], np.cumsum(sizes[coded.indices.to_numpy()])]) if len(distinct) else np.zeros(1, np.int64)
         counts = upto[units.first[1:]] - upto[units.first[:-1]]
         if whole.any():

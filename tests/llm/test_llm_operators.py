@@ -286,6 +286,17 @@ def test_a_mixed_bucket_costs_rows_in_proportion(spark, odd):
     assert want <= met
 
 
+def test_the_memo_of_token_counts_is_bounded_in_bytes():
+    from spheremeans.llm.tokens import LONGEST_KEPT, WordCounter, default_path
+
+    rng = random.Random(4)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(3000)) for _ in range(20)] + ["some short words", "x" * 65]
+    counter = WordCounter(default_path("word_bpe_49k.json"), most_units=100)
+    for _ in range(2):  # the same whether or not the memo knows a unit
+        assert counter.count(pa.array(texts)).tolist() == counter.count_whole(texts).tolist()
+    assert {b"some", b"short", b"words"} == set(counter.known) and LONGEST_KEPT == 64
+
+
 def test_equal_digests_of_an_earlier_band_hide_no_pair(spark):
     texts = [" ".join(["a"] * 3 + [f"w{k}" for k in range(100)] + [last]) for last in "xy"]
     kept = nd.sketch(2, *nd.weighted_shingles(pa.array(texts)), 180)
