@@ -7,7 +7,7 @@ from functools import wraps
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spheremeans.config import shared_dir
@@ -28,6 +28,34 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def ranked(df: DataFrame, group: list[str], order: list[str], name: str, range_rows: int | None = None) -> DataFrame:
+    """``df`` with column ``name``: each row's place, from 0, among the rows of its ``group`` in ``order``.
+
+    Rows are dealt by ranges of (group, order), a range being what one task sorts, and the counts of
+    each group in each range tell where its part of a range begins. A row's number in the stored ``df``
+    breaks ties, so rows that are equal in everything are split over ranges like others. ``df`` is read
+    twice and must be stored; it has no columns _tie and _range. ``range_rows`` sets the number of
+    ranges; without it that is Spark's number of shuffle partitions.
+    """
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    ranges = () if range_rows is None else (-(-df.count() // range_rows) or 1,)
+    dealt = tied.repartitionByRange(*ranges, *group, *order, "_tie").withColumn("_range", F.spark_partition_id())
+    dealt = cut(dealt)
+    inside = Window.partitionBy(*group, "_range").orderBy(*order, "_tie")
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    begins = dealt.groupBy(*group, "_range").agg(F.count("*").alias("_n"))
+    begins = begins.select(
+        *(F.col(g).alias(f"_of_{g}") for g in group),
+        F.col("_range").alias("_of_range"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begin"),
+    )
+    numbered = dealt.withColumn("_in", F.row_number().over(inside) - 1)
+    same = numbered["_range"] == begins["_of_range"]
+    for g in group:
+        same = same & numbered[g].eqNullSafe(begins[f"_of_{g}"])
+    return numbered.join(begins, same).select(*df.columns, (F.col("_begin") + F.col("_in")).alias(name))
+
+
 def fold(doc_id: str | Column, parts: int) -> Column:
     """crc32 of the id's decimal text modulo ``parts``; null for a null id."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -15,7 +15,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, carries, cut, text_slices
@@ -126,18 +126,17 @@ def find_duplicates(docs: DataFrame, digests: tuple[int, ...] = (16, 32, 0)) ->
     Null and empty texts are equal. Of equal texts the row with the largest doc_id stays (null
     is the smallest; of rows that repeat an id, one). An empty table gives no rows.
     """
-    recipes = cut(chunk_recipes(docs, digests))
+    # The row number is stored with the recipes, so it tells apart rows that are equal in everything.
+    recipes = cut(chunk_recipes(docs, digests).withColumn("_at", F.monotonically_increasing_id()))
     groups = recipes.groupBy(F.col("recipe").alias("_recipe")).agg(
-        F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
+        F.max(F.struct("doc_id", "_at")).alias("_stays"), F.count("*").alias("group_size")
     )
     rows = recipes.join(groups, recipes["recipe"] == groups["_recipe"])
-    # Only rows that share id and text can tie for staying, so the window's groups are those.
-    nth = F.row_number().over(Window.partitionBy("doc_id", "text_sha256").orderBy("doc_id"))
     return rows.select(
         "doc_id",
-        "keep_id",
+        F.col("_stays.doc_id").alias("keep_id"),
         F.col("group_size").cast("long").alias("group_size"),
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (nth == 1)).alias("kept"),
+        (F.col("_at") == F.col("_stays._at")).alias("kept"),
         "text_sha256",
     )
 
@@ -147,12 +146,13 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that do not stay, in which rows that repeat an id once stay once.
 
     Nulls, empty texts and an empty table are as in ``find_duplicates``; further columns stay as they are.
-    Texts are not moved for ids that occur once: rows meet the decisions by id and digest.
+    Rows meet the decisions by id and digest; those that stay are moved once, after copies within a task have been merged.
     """
     columns = docs.columns
     stay = find_duplicates(docs).where("kept").select(F.col("doc_id").alias("_d"), F.col("text_sha256").alias("_sha"))
     folded = F.translate(F.coalesce(docs["text"], F.lit("")), UPPER, LOWER)
     rows = docs.withColumn("_own", F.sha2(folded.cast("binary"), 256))
     rows = rows.join(stay, rows["doc_id"].eqNullSafe(stay["_d"]) & (rows["_own"] == stay["_sha"]), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_own").orderBy(*(F.col(c) for c in columns)))
-    return rows.withColumn("_nth", nth).where("_nth = 1").select(*columns)
+    # Of rows with one id and text the least by all columns stays; each task sends one of them at most.
+    least = rows.groupBy("doc_id", "_own").agg(F.min(F.struct(*(F.col(c) for c in columns if c != "doc_id"))).alias("_row"))
+    return least.select(*(F.col("doc_id") if c == "doc_id" else F.col("_row").getField(c).alias(c) for c in columns))

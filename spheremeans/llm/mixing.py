@@ -6,9 +6,9 @@ copies starts at one random offset for each source, and a document is emitted on
 each integer that its step crosses. Ordering by size spreads the copies over short
 and long documents, so the words taken stay near the target.
 
-The running sum of a source is not one task's work: documents fall into cells of one
-source, one size and a range of hashes, of about ``cell_rows`` rows; sums over cells
-give where each cell begins, and a window within the cell gives the rest.
+The running sum of a source is not one task's work: documents are dealt by ranges of that
+order, each range is numbered apart, and counts over the ranges give where each begins. Rows
+that are equal in all of it, such as copies without an id, are dealt by a stored row number.
 """
 
 from __future__ import annotations
@@ -16,12 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, carries, cut
+from .common import WORD_PATTERN, carries, cut, ranked
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_COPIES = 2
-CELL_ROWS = 8192
 SEED = "mix"
 
 
@@ -74,14 +73,14 @@ def source_targets(sized: DataFrame) -> DataFrame:
     )
 
 
-def sample_copies(docs: DataFrame, carry: list[str], cell_rows: int = CELL_ROWS) -> DataFrame:
+def sample_copies(docs: DataFrame, carry: list[str], cell_rows: int | None = None) -> DataFrame:
     """``carry`` columns with size, source_size, target and copies of every document.
 
     ``carry`` is for keys, not texts: its columns are written and shuffled.
 
     docs: doc_id, text and source. A null text has size 0, a null source is a source of its
     own, repeated rows are documents of their own, a source without words takes nothing, and
-    an empty table gives no rows. Null ids sort first within their cell.
+    an empty table gives no rows. Null ids sort by the digest of the empty string.
     """
     sized = docs.select(
         *(F.col(c) for c in carry),
@@ -93,34 +92,12 @@ def sample_copies(docs: DataFrame, carry: list[str], cell_rows: int = CELL_ROWS)
     sized = cut(sized)  # narrow rows; words are counted once
     targets = source_targets(sized)
 
-    spread = sized.groupBy("_source", "_size").agg(F.count("*").alias("_n"))
-    spread = spread.withColumn("_parts", F.ceil(F.col("_n") / cell_rows).cast("long")).drop("_n")
-    share = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
-    same = lambda a, b, *names: [a[n].eqNullSafe(b[n]) for n in names]
-    parts = spread.select(F.col("_source").alias("_s"), F.col("_size").alias("_z"), "_parts")
-    placed = sized.join(parts, sized["_source"].eqNullSafe(parts["_s"]) & (sized["_size"] == parts["_z"]))
-    placed = placed.drop("_s", "_z").withColumn("_cell", F.floor(share * F.col("_parts")))
-
-    cells = placed.groupBy("_source", "_size", "_cell").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_source").orderBy("_size", "_cell")
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    cells = cells.join(targets, same(cells, targets, "_source")).drop(targets["_source"])
-    cells = cells.select(
-        F.col("_source").alias("_s"), F.col("_size").alias("_z"), F.col("_cell").alias("_c"),
-        "_before", "source_size", "target",
-    )
-    inside = Window.partitionBy("_source", "_size", "_cell").orderBy("_hash", "_id")
-    placed = placed.withColumn("_rank", F.row_number().over(inside))
-    placed = placed.join(
-        cells,
-        placed["_source"].eqNullSafe(cells["_s"])
-        & (placed["_size"] == cells["_z"])
-        & (placed["_cell"] == cells["_c"]),
-    )
+    placed = ranked(sized, ["_source"], ["_size", "_hash", "_id", *(c for c in carry if c != "doc_id")], "_before", cell_rows)
+    targets = targets.select(F.col("_source").alias("_s"), "source_size", "target")
+    placed = placed.join(targets, placed["_source"].eqNullSafe(targets["_s"]))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = unit(F.concat(F.lit(SEED), F.coalesce(F.col("_source"), F.lit(""))))
-    place = F.col("_before") + F.col("_rank")
+    place = F.col("_before") + 1
     crossed = lambda upto: F.floor(upto * rate + offset)
     return placed.select(
         *(F.col(c) for c in carry),
@@ -135,14 +112,20 @@ def sample_copies(docs: DataFrame, carry: list[str], cell_rows: int = CELL_ROWS)
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: ``docs`` with each row as often as it was drawn, possibly never.
 
-    Equal rows are one row with the sum of their copies; texts are moved once. Nulls, empty
+    Equal rows, told by 128 bits of hashes, are one row with the sum of their copies; texts are moved once. Nulls, empty
     texts and an empty table are as in ``sample_copies``; further columns stay as they are.
     """
     columns = docs.columns
-    keyed = docs.withColumn("_key", F.xxhash64(*(docs[c] for c in columns)))
-    drawn = sample_copies(keyed, ["doc_id", "_key"]).where("copies > 0")
-    drawn = drawn.groupBy(F.col("doc_id").alias("_d"), F.col("_key").alias("_k")).agg(F.sum("copies").alias("_n"))
-    rows = keyed.groupBy("doc_id", "_key").agg(F.first(F.struct(*(F.col(c) for c in columns))).alias("_row"))
-    rows = rows.join(drawn, rows["doc_id"].eqNullSafe(drawn["_d"]) & (rows["_key"] == drawn["_k"]))
+    # Hashes pass over nulls, so what is null is hashed too: within ``further`` as JSON, which names its fields.
+    nulls = F.concat(*(F.when(docs[c].isNull(), "0").otherwise("1") for c in columns))
+    inner = [F.to_json(docs["further"])] if "further" in columns else []
+    whole = [nulls, *inner, *(docs[c] for c in columns)]
+    keyed = docs.withColumns({"_key": F.xxhash64(*whole), "_key_2": F.xxhash64(F.lit(1), *whole)})
+    keys = ["doc_id", "_key", "_key_2"]
+    drawn = sample_copies(keyed, keys).where("copies > 0")
+    drawn = drawn.groupBy(*(F.col(k).alias(f"_of_{k}") for k in keys)).agg(F.sum("copies").alias("_n"))
+    rows = keyed.groupBy(*keys).agg(F.first(F.struct(*(F.col(c) for c in columns))).alias("_row"))
+    same = rows["doc_id"].eqNullSafe(drawn["_of_doc_id"]) & (rows["_key"] == drawn["_of__key"])
+    rows = rows.join(drawn, same & (rows["_key_2"] == drawn["_of__key_2"]))
     rows = rows.select("_row", F.explode(F.expr("sequence(1L, _n)")).alias("_copy"))
     return rows.select(*(F.col("_row").getField(c).alias(c) for c in columns))

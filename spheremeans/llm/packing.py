@@ -6,8 +6,8 @@
 3. Best-fit decreasing runs on the counts. All bins with the same content are one group, so
    the plan has a row for each group and length, not for each piece.
 4. The i-th piece of a length takes the i-th planned place of that length. Ranks come from
-   sums over cells (a length and a range of hashes) and a window within a cell, so a
-   length that a third of all pieces have is nobody's single task.
+   ranges of (length, id, piece, a stored row number), numbered apart, so neither a length nor an
+   id or its absence that a third of all pieces share is anybody's single task.
 """
 
 from __future__ import annotations
@@ -17,16 +17,15 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_slices
+from .common import cut, ranked, text_slices
 from .tokens import byte_bpe, default_path
 
 CAPACITY = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
-CELL_ROWS = 16384
 
 PLAN = "length int, first long, places long, per_bin long, bin long, offset long"
 
@@ -107,35 +106,23 @@ def plan_best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
     return rows
 
 
-def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, cell_rows: int = CELL_ROWS) -> DataFrame:
+def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, cell_rows: int | None = None) -> DataFrame:
     """``pieces`` (doc_id, piece, length and more) with sequence_id and offset.
 
-    ``pieces`` is read three times, so hand over something stored. The plan goes to the tasks
+    ``pieces`` is read three times and has no column whose name begins with an underscore; hand over something stored. The plan goes to the tasks
     whole: its size depends on the lengths in use, at most ``capacity``, not on the rows.
     """
     spark = pieces.sparkSession
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
     plan = spark.createDataFrame(plan_best_fit(counts, capacity), PLAN)
-    parts = spark.createDataFrame([(k, -(-n // cell_rows)) for k, n in counts.items()], "_length long, _parts long")
-
-    spread = pieces.join(F.broadcast(parts), pieces["length"] == parts["_length"]).drop("_length")
-    key = F.xxhash64("doc_id", "piece", F.lit(7))
-    spread = spread.withColumn("_cell", F.pmod(key, F.col("_parts"))).drop("_parts")
-    cells = spread.groupBy("length", "_cell").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("length").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select(
-        F.col("length").alias("_l"), F.col("_cell").alias("_c"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
-    )
-    inside = Window.partitionBy("length", "_cell").orderBy("doc_id", "piece", "start")
-    ranked = spread.withColumn("_rank", F.row_number().over(inside) - 1)
-    ranked = ranked.join(cells, (ranked["length"] == cells["_l"]) & (ranked["_cell"] == cells["_c"]))
-    ranked = ranked.withColumn("_place", F.col("_rank") + F.col("_before")).drop("_l", "_c", "_rank", "_before", "_cell")
+    tied = [c for c in ("doc_id", "piece", "start", "ids_crc32") if c in pieces.columns]
+    placed = ranked(pieces, ["length"], tied, "_place", cell_rows)
 
     # Each length's places in one row, so that a piece meets one row and looks its place up.
     table = plan.groupBy(F.col("length").cast("long").alias("_l")).agg(
         F.sort_array(F.collect_list(F.struct("first", "places", "per_bin", "bin", F.col("offset").alias("at")))).alias("_places")
     )
-    found = ranked.join(F.broadcast(table), ranked["length"] == table["_l"]).drop("_l")
+    found = placed.join(F.broadcast(table), placed["length"] == table["_l"]).drop("_l")
     found = found.withColumn(
         "_to", F.expr("filter(_places, p -> _place >= p.first and _place < p.first + p.places)[0]")
     ).drop("_places")
@@ -149,7 +136,11 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, cell_rows: int = C
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
+    """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
+
+    Nulls, empty texts and repeated ids are as in ``token_pieces``; an empty table gives no rows, and further
+    columns are not read.
+    """
     pieces = token_pieces(docs, tokenizer or default_path(TOKENIZER), capacity)
     if not with_ids:
         pieces = pieces.drop("ids")

@@ -10,11 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from spheremeans.llm import common
 from spheremeans.llm import exact_dedup as ed
 from spheremeans.llm import language_model as lm
 from spheremeans.llm import near_dedup as nd
 from spheremeans.llm import topk
-from spheremeans.llm.common import fold
+from spheremeans.llm.common import cut, fold
 from spheremeans.llm.language_id import predict_language
 from spheremeans.llm.mixing import mix_documents, sample_copies, source_targets
 from spheremeans.llm.packing import pack_documents, place_pieces, plan_best_fit
@@ -146,6 +147,40 @@ def test_packing_ranks_do_not_depend_on_cells(spark):
     assert len(got) == 3000 and got.sequence_id.nunique() == math.ceil(got.length.sum() / 16)
 
 
+def test_ranks_split_a_group_of_equal_rows(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(common, "cut", lambda df: stored.append(cut(df)) or stored[-1])
+    rows = spark.range(60_000).selectExpr("if(id % 3 = 0, 'rare', null) AS source", "if(id % 3 = 0, id, null) AS doc_id")
+    got = common.ranked(cut(rows), ["source"], ["doc_id"], "place", 2000).toPandas()
+    for hot, n in (("rare", 20_000), (None, 40_000)):
+        own = got[got.source.isna() if hot is None else got.source == hot]
+        assert sorted(own.place) == list(range(n))
+    rare = got[got.source == "rare"].sort_values("doc_id")
+    assert rare.place.is_monotonic_increasing
+    assert stored[0].groupBy("source", "_range").count().toPandas()["count"].max() <= 8000
+
+
+def test_hot_rows_without_an_id(documents, spark):
+    rows = [(None, "same text", "en", "s")] * 3000 + [(i, f"text {i % 50}", "en", "s") for i in range(300)]
+    docs = documents(rows)
+    packed = pack_documents(docs).toPandas()
+    assert len(packed) == 3300 and not packed.duplicated(["sequence_id", "offset"]).any()
+    found = ed.find_duplicates(docs).toPandas()
+    assert found.kept.sum() == 51 and found.group_size.max() == 3000
+    kept = ed.drop_duplicates(docs).toPandas()
+    assert sorted(kept.text) == sorted({r[1] for r in rows}) and set(kept._own) == {"_own"} and set(kept._nth) == {"_nth"}
+    drawn = sample_copies(docs, ["doc_id"]).toPandas()
+    assert len(drawn) == 3300 and (drawn.copies * drawn["size"]).sum() == pytest.approx(1.5 * 6600, abs=4)
+    assert mix_documents(docs).count() == drawn.copies.sum()
+
+
+def test_mixing_tells_apart_rows_whose_nulls_stand_elsewhere(spark):
+    kinds = "doc_id long, text string, source string, a string, b string"
+    rows = [(None, "w", "s", "x", None), (None, "w", "s", None, "x"), (None, "w", None, "s", "x"), (None, None, "w", "s", "x")]
+    mixed = mix_documents(spark.createDataFrame(rows * 4, kinds)).toPandas()
+    assert {tuple(None if v != v else v for v in r) for r in mixed.itertuples(index=False)} >= {r for r in rows[:3]}
+
+
 # exact duplicates
 
 
