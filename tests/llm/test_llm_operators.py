@@ -3,6 +3,7 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from spheremeans.llm import common
 from spheremeans.llm import exact_dedup as ed
+from spheremeans.llm import language_id as li
 from spheremeans.llm import language_model as lm
 from spheremeans.llm import near_dedup as nd
 from spheremeans.llm import topk
@@ -523,6 +525,60 @@ def test_language_of_odd_rows(documents, odd_rows):
     assert nothing.lang_pred.tolist() == ["und"] and predict_language(documents([])).count() == 0
 
 
+def plain_grams(text):
+    """Windows of four bytes with a letter among the inner two, as a dictionary of counts."""
+    body = bytes(c if c >= 0x80 or 0x61 <= c <= 0x7A else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in text.encode())
+    body = b" " + body + b"  "
+    windows = (body[i : i + 4] for i in range(len(text.encode())))
+    return Counter(int.from_bytes(w.ljust(4), "big") for w in windows if w[1:3] != b"  ")
+
+
+def test_language_filter_against_plain_counts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learned = li.fit(docs)
+    rows = [r for r in docs.select("text", "lang").collect() if r.text is not None]
+    counts = {lang: sum((plain_grams(r.text) for r in rows if r.lang == lang), Counter()) for lang in learned.languages}
+    totals = {lang: sum(c.values()) for lang, c in counts.items()}
+    every = np.array(sorted(set().union(*counts.values())), dtype=np.uint32)
+    found = learned.containing(every)
+    level = lambda lang, g: sum(counts[lang][g] >= totals[lang] * share for share in li.SHARES) + 1 if g in counts[lang] else 0
+    wrong = 0
+    for i, lang in enumerate(learned.languages):
+        exact = np.array([(1 << level(lang, g)) - 1 for g in every.tolist()])
+        assert (found[:, i] & exact == exact).all()  # no language that contains an n-gram is missing
+        wrong += (found[:, i] != exact).mean()
+    assert wrong / len(learned.languages) < 0.02 and learned.false_rate.max() < 0.02
+    texts = [r.text for r in rows][:50]
+    got = learned.corrected_counts(pa.array(texts))
+    for row, text in zip(got, texts, strict=True):
+        plain = [sum(n * level(lang, g) for g, n in plain_grams(text).items()) for lang in learned.languages]
+        assert row == pytest.approx(plain, rel=0.03, abs=10 + 0.02 * max(plain))  # what is found wrongly goes by the text's length
+        assert not text.strip() or row.argmax() == np.argmax(plain) or sorted(plain)[-1] - sorted(plain)[-2] < 0.03 * max(plain)
+
+
+def test_language_of_texts_that_differ_in_frequency_only(documents):
+    """Both languages contain every n-gram; how often is what tells them apart."""
+    rng = random.Random(3)
+    words = [f"{a}{b}{c}" for a in "bdgk" for b in "aeou" for c in "lmnr"]
+    more = {"x": [1 + 15 * (i % 2) for i in range(64)], "y": [16 - 15 * (i % 2) for i in range(64)]}
+    rows = [(i, " ".join([*words, *rng.choices(words, more["xy"[i % 2]], k=200)]), "xy"[i % 2]) for i in range(400)]
+    got = predict_language(documents(rows)).toPandas().set_index("doc_id")
+    assert np.mean([got.lang_pred[r[0]] == r[2] for r in rows]) > 0.97
+
+
+def test_language_counts_are_merged_in_tasks(monkeypatch):
+    texts = [f"word {chr(97 + i % 26)}{chr(97 + i % 25)}{chr(97 + i % 7)} and more" for i in range(300)]
+    batches = lambda: [pa.record_batch({"text": texts[i : i + 50], "lang": ["a", "b"] * 25}) for i in range(0, 300, 50)]
+    count = lambda: sum((Counter({(r["lang"], r["gram"]): r["n"]}) for b in li._count(batches()) for r in b.to_pylist()), Counter())
+    whole = count()
+    monkeypatch.setattr(li, "MERGE_AT", 100)
+    assert count() == whole
+    want = Counter()
+    for i, t in enumerate(texts):
+        want.update({("ab"[i % 2], g): n for g, n in plain_grams(t).items()})
+    assert whole == want
+
+
 def test_language_masks_hold_more_than_64_languages(documents):
     rows = [(1000 * k + i, " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{c}q" for c in "abcde") + f" {i}", f"l{k:02}") for k in range(70) for i in range(3)]
     got = predict_language(documents(rows)).toPandas().set_index("doc_id")
