@@ -2,13 +2,16 @@
 
 A huge text is encoded in chunks with offsets, each chunk beginning inside the one before.
 Two neighbours are spliced at a boundary that both have at the same place of the text and
-that is proven stable: a white-space character lies at it, across which the tokenizer
-never joins anything, so what stands on either side cannot change it. Where an overlap
-holds no such place it is widened, up to the whole rest of the text.
+that is proven stable: the tokenizer's rules never join anything across it, whatever stands around.
+Such are places after white space, on both sides of a digit, and where a letter meets a sign that
+no contraction, special string or combining mark can begin with, either way round. Where an overlap
+holds no such place it is widened; where a whole chunk holds none, the chunk is doubled,
+so that a text costs a few times its length at most, however long its words are.
 """
 
 from __future__ import annotations
 
+import re
 from functools import partial
 
 import numpy as np
@@ -25,7 +28,13 @@ CHUNK = 16384
 OVERLAP = 64
 HUGE = 49152
 
-_SPACES = " \t\n\x0b\x0c\r"
+# Characters that stay letters, and ones that stay signs, in every form of Unicode text,
+# lower-cased or composed. Latin, Cyrillic, Arabic, Devanagari, kana, ideographs, Hangul.
+_LETTERS = r"A-Za-z\u0410-\u044F\u0621-\u063A\u0905-\u0939\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FA5\uAC00-\uD7A3"
+_SIGNS = r"!\"#$%&()*+,\-./:;=?@\[\\\]\^_`{}~\u060C\u061F\u0964\u3001\u3002\u300C\u300D\uFF01\uFF08\uFF09\uFF0C\uFF1A\uFF1B\uFF1F"
+_STABLE = re.compile(
+    rf"(?<=[ \t\n\x0b\x0c\r])|(?<=[0-9])|(?=[0-9])|(?<=[{_LETTERS}])(?=['{_SIGNS}])|(?<=[{_SIGNS}])(?=[{_LETTERS}])"
+)
 
 
 def _chunk_tokens(path: str, text: str, begin: int, end: int) -> np.ndarray:
@@ -34,35 +43,34 @@ def _chunk_tokens(path: str, text: str, begin: int, end: int) -> np.ndarray:
     return np.array([a for a, _ in found.offsets], dtype=np.int64) + begin
 
 
-def _stable(text: str, first: np.ndarray, second: np.ndarray, low: int, high: int) -> int | None:
-    """The first place in [low, high) where both chunks start a token right after white space."""
-    a = first[(first >= low) & (first < high)]
-    b = second[(second >= low) & (second < high)]
-    for place in np.intersect1d(a, b):
-        if place and text[place - 1] in _SPACES:
-            return int(place)
-    return None
+def stable_places(text: str, low: int, high: int) -> np.ndarray:
+    """Places in [low, high), low above 0, across which nothing is ever joined."""
+    found = (m.start() + low - 1 for m in _STABLE.finditer(text[low - 1 : high]))
+    return np.array([p for p in found if low <= p < high], dtype=np.int64)
 
 
 def count_huge(path: str, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
     """Tokens of a text of any length, holding one chunk's tokens and the next's."""
-    total, begin, counted_from, step = 0, 0, 0, overlap
+    total, counted_from, step = 0, 0, overlap
     end = min(len(text), chunk)
-    tokens = _chunk_tokens(path, text, begin, end)
+    tokens = _chunk_tokens(path, text, 0, end)
     while end < len(text):
         nxt = max(counted_from, end - step)
-        nxt_end = min(len(text), nxt + max(chunk, 2 * (end - nxt)))
-        after = _chunk_tokens(path, text, nxt, nxt_end)
-        # A chunk's own ends may cut a word, so the splice keeps inside white space on both sides.
-        place = _stable(text, tokens, after, nxt + 1, end)
-        if place is None:
-            if nxt == counted_from:  # the overlap is all that is left of the chunk: grow it
-                end = min(len(text), end + chunk)
-                tokens = _chunk_tokens(path, text, counted_from, end)
-            step *= 4
-            continue
-        total += int(((tokens >= counted_from) & (tokens < place)).sum())
-        counted_from, tokens, end, step = place, after, nxt_end, overlap
+        # A chunk's own ends may cut a word, so the splice keeps inside on both sides.
+        places = stable_places(text, nxt + 1, end)
+        if len(places):
+            nxt_end = min(len(text), nxt + max(chunk, 2 * (end - nxt)))
+            after = _chunk_tokens(path, text, nxt, nxt_end)
+            common = np.intersect1d(np.intersect1d(places, tokens), after)
+            if len(common):
+                place = int(common[0])
+                total += int(((tokens >= counted_from) & (tokens < place)).sum())
+                counted_from, tokens, end, step = place, after, nxt_end, overlap
+                continue
+        if nxt == counted_from:  # the overlap is all that is left of the chunk: double it
+            end = min(len(text), counted_from + 2 * (end - counted_from))
+            tokens = _chunk_tokens(path, text, counted_from, end)
+        step *= 4
     return total + int((tokens >= counted_from).sum())
 
 

@@ -16,7 +16,7 @@ from spheremeans.llm import exact_dedup as ed
 from spheremeans.llm import language_id as li
 from spheremeans.llm import language_model as lm
 from spheremeans.llm import near_dedup as nd
-from spheremeans.llm import topk
+from spheremeans.llm import token_counts, topk
 from spheremeans.llm.common import cut, fold
 from spheremeans.llm.language_id import predict_language
 from spheremeans.llm.mixing import mix_documents, sample_copies, source_targets
@@ -82,6 +82,34 @@ def test_chunks_resynchronise(chunk, overlap):
         assert count_huge(WORD_BPE, t, chunk, overlap) == whole
 
 
+LONG_KINDS = {
+    "letters": lambda rng, n: "".join(rng.choice("abcde") for _ in range(n)),
+    "letters and digits": lambda rng, n: "".join(rng.choice("ab12") for _ in range(n)),
+    "ideographs": lambda rng, n: "".join(rng.choice("中文字词語") for _ in range(n)),
+    "ideographs and signs": lambda rng, n: "".join(rng.choice("中文字词語、中文字词語。") for _ in range(n)),
+    "signs": lambda rng, n: "".join(rng.choice("!?'.-|<>") for _ in range(n)),
+    "contractions": lambda rng, n: "".join(rng.choice(["'s", "x", "'", "'ll", "e\u0301", "İ", ".", "<|endoftext|>", "=\u0338"]) for _ in range(n)),
+}
+
+
+@pytest.mark.parametrize("kind", LONG_KINDS)
+def test_chunks_without_white_space(kind):
+    rng = random.Random(7)
+    for n, chunk, overlap in [(300, 7, 2), (300, 40, 8), (2000, 64, 8), (60_000, 16384, 64)]:
+        t = LONG_KINDS[kind](rng, n)
+        assert count_huge(WORD_BPE, t, chunk, overlap) == len(tokenizer(WORD_BPE).encode(t, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("kind", ["letters", "letters and digits", "ideographs", "ideographs and signs"])
+def test_long_texts_without_white_space_are_encoded_a_few_times_only(kind, monkeypatch):
+    encoded = []
+    real = token_counts._chunk_tokens
+    monkeypatch.setattr(token_counts, "_chunk_tokens", lambda p, t, a, b: encoded.append(b - a) or real(p, t, a, b))
+    t = LONG_KINDS[kind](random.Random(8), 1_000_000)
+    assert count_huge(WORD_BPE, t) == len(tokenizer(WORD_BPE).encode(t, add_special_tokens=False).ids)
+    assert sum(encoded) <= 3 * len(t)
+
+
 def test_token_counts_of_odd_rows(documents, odd_rows):
     docs = documents(odd_rows)
     got = count_tokens(docs, huge=1000).toPandas()
