@@ -1,15 +1,21 @@
 """Toxicity by a chain of linear classifiers.
 
-Categories are predicted one after another. Each model sees the text's terms and the
+Categories are predicted one after another. Each model sees what the text's terms say and the
 probabilities of the categories before it; for training these are out-of-fold predictions,
 so that a model meets probabilities as uncertain as those of unseen texts.
 
-Where labels only say toxic or not, ``mine_categories`` makes categories of them: terms that
-toxic texts have significantly more often, split by how often; a category is "toxic, and
-holds a term of this group". The chain then ends with the label itself.
+Terms are words and stems, told apart by ``TERM_BITS`` bits of a hash. Spark counts over all training
+texts in how many toxic and other texts each occurs; of equal texts one counts. Every term that
+toxic texts hold significantly more often counts, however many there are: it falls into one
+of ``GROUPS`` groups, by hash, and into a band by how much likelier it makes a toxic text. What a
+model sees of a text is how much of each group and band it holds, so the models are small and
+a term need not occur in the texts they were fitted on.
 
-Fitted on at most ``sample_rows`` labelled texts of each class, the first in a hash order of
-their ids; of equal texts one counts. Every text is scored as a whole.
+Where labels only say toxic or not, categories are made of the groups: a category is "toxic, and
+holds a strong term of this group". The chain then ends with the label itself.
+
+The linear models are fitted on about ``sample_rows`` distinct texts of each class at most, the first in
+the order of their digests. Every text is scored as a whole.
 """
 
 from __future__ import annotations
@@ -21,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, text_slices
+from .common import cut, fold, text_slices
 from .words import Words, mix, units_of
 
 SAMPLE_ROWS = 3000
-MOST_TERMS = 384
-LEAST_TEXTS = 5  # a term must occur in so many texts of the sample
+TERM_BITS = 24
+LEAST_TEXTS = 5  # a term must occur in so many texts
 SIGNIFICANT = 4.5  # standard errors
+BANDS = (0.5, 1.0, 1.5, 2.0, 3.0, 4.0)  # edges, in log odds less a standard error
+STRONG = 2  # bands from here on make a category
 GROUPS = 3
 FOLDS = 4
 STEMS = (4, 5, 6)  # bytes
@@ -57,17 +65,25 @@ def _counted(h: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return h[at], d[at], np.log1p(np.diff(np.append(at, len(h))))
 
 
-def _terms(texts: pa.Array, among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """_counted terms of the texts; only those in ``among`` (sorted) if given."""
+def _buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """_counted terms of the texts, by the bits of their hashes that tell them apart."""
     h, d = _all_terms(texts)
-    if among is not None:
-        if not len(among):
-            return _counted(h[:0], d[:0])
-        at = np.searchsorted(among, h)
-        at[at == len(among)] = 0
-        hit = among[at] == h
-        h, d = h[hit], d[hit]
-    return _counted(h, d)
+    return _counted((h >> np.uint64(64 - TERM_BITS)).astype(np.int64), d)
+
+
+def features(texts: pa.Array, table: np.ndarray) -> np.ndarray:
+    """texts x features: log counts of the terms of each group and band, of each band, and of all.
+
+    A band in all groups together is what a model learns even where its sample lacks a group's terms.
+    """
+    codes = GROUPS * (len(BANDS) + 1)
+    bucket, d, value = _buckets(texts)
+    code = table[bucket].astype(np.int64)
+    hit = code > 0
+    sums = np.bincount(d[hit] * codes + code[hit] - 1, weights=value[hit], minlength=len(texts) * codes)
+    every = np.bincount(d, minlength=len(texts))
+    sums = sums.reshape(len(texts), GROUPS, len(BANDS) + 1)
+    return np.log1p(np.hstack([sums.reshape(len(texts), codes), sums.sum(axis=1), every[:, None]]))
 
 
 class Linear:
@@ -97,18 +113,10 @@ class Linear:
 
 
 class Chain:
-    """Models in order, each fed the probabilities of those before it."""
+    """Models in order, each fed the probabilities of those before it; ``table`` holds the code of each term."""
 
-    def __init__(self, terms: np.ndarray, names: list[str], models: list[Linear]):
-        self.terms, self.names, self.models = terms, names, models
-
-    def rows(self, n: int, h: np.ndarray, d: np.ndarray, value: np.ndarray) -> np.ndarray:
-        out = np.zeros((n, len(self.terms)))
-        at = np.searchsorted(self.terms, h)
-        at[at == len(self.terms)] = 0
-        hit = self.terms[at] == h if len(self.terms) else np.zeros(len(h), dtype=bool)
-        out[d[hit], at[hit]] = value[hit]
-        return out
+    def __init__(self, table: np.ndarray, models: list[Linear]):
+        self.table, self.models = table, models
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """texts x categories."""
@@ -118,10 +126,10 @@ class Chain:
         return out
 
     @classmethod
-    def fit(cls, terms: np.ndarray, names: list[str], x: np.ndarray, labels: np.ndarray, folds: np.ndarray) -> Chain:
+    def fit(cls, table: np.ndarray, x: np.ndarray, labels: np.ndarray, folds: np.ndarray) -> Chain:
         """labels: texts x categories in 0, 1; folds: each text's fold for out-of-fold predictions."""
         models, before = [], np.zeros((len(x), 0))
-        for i in range(len(names)):
+        for i in range(labels.shape[1]):
             full, y = np.hstack([x, before]), labels[:, i].astype(float)
             unseen = np.zeros(len(x))
             for f in np.unique(folds):
@@ -129,75 +137,98 @@ class Chain:
                 unseen[~rest] = Linear.fit(full[rest], y[rest]).score(full[~rest]) if rest.any() else y.mean()
             models.append(Linear.fit(full, y))
             before = np.hstack([before, unseen[:, None]])
-        return cls(terms, names, models)
+        return cls(table, models)
+
 
+def mine_categories(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """texts x groups: toxic texts that hold a strong term of the group."""
+    by_band = x[:, : GROUPS * (len(BANDS) + 1)].reshape(len(x), GROUPS, len(BANDS) + 1)
+    return (by_band[:, :, STRONG:].sum(axis=2) > 0).astype(np.int64) * toxic.astype(np.int64)[:, None]
 
-def associated_terms(h: np.ndarray, d: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Hashes of terms significantly more frequent in toxic texts, strongest first."""
-    names, inverse = np.unique(h, return_inverse=True)
-    with_term = np.bincount(inverse, minlength=len(names))
-    toxic_with = np.bincount(inverse, weights=toxic[d], minlength=len(names))
-    base = toxic.mean()
-    z = (toxic_with - with_term * base) / np.sqrt(np.maximum(1e-9, with_term * base * (1 - base)))
-    good = np.flatnonzero((with_term >= LEAST_TEXTS) & (z >= SIGNIFICANT))
-    order = good[np.lexsort((names[good], -z[good]))][:MOST_TERMS]
-    return names[order]
 
+def _tally(batches):
+    """bucket, n, toxic: texts that hold each term, all and toxic; bucket -1 counts the texts themselves."""
 
-def mine_categories(terms: np.ndarray, h: np.ndarray, d: np.ndarray, toxic: np.ndarray, groups: int = GROUPS) -> np.ndarray:
-    """texts x groups: toxic texts that hold a term of the group. Strongest terms are dealt in turn."""
-    out = np.zeros((len(toxic), groups), dtype=np.int64)
-    for g in range(groups):
-        hit = np.isin(h, terms[g::groups])
-        out[d[hit], g] = 1
-    return out * toxic.astype(np.int64)[:, None]
+    def out(bucket, n, toxic):
+        for a in range(0, len(bucket), 1 << 16):
+            part = slice(a, a + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(v[part].astype(np.int64)) for v in (bucket, n, toxic)], names=["bucket", "n", "toxic"])
+
+    for batch in batches:
+        for part in text_slices(batch, "text", 8 << 20):
+            label = part.column("label").to_numpy()
+            bucket, d, _ = _buckets(part.column("text"))
+            names, inverse = np.unique(bucket, return_inverse=True)
+            n = np.bincount(inverse, minlength=len(names))
+            toxic = np.bincount(inverse, weights=label[d], minlength=len(names))
+            yield from out(np.append(names, -1), np.append(n, len(label)), np.append(toxic, label.sum()))
+
+
+def term_table(counted: DataFrame, texts: int, toxic: int) -> np.ndarray:
+    """The code of each term, 0 for one that says nothing: 2**TERM_BITS bytes, whatever the corpus.
+
+    counted: bucket, n, toxic, as ``_tally`` names them, summed.
+    """
+    base = toxic / texts
+    expected = F.col("n") * base
+    odds = F.log((F.col("toxic") + 0.5) / (F.col("n") - F.col("toxic") + 0.5)) - F.lit(float(np.log(toxic / (texts - toxic))))
+    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("n") - F.col("toxic") + 0.5))
+    strength = odds - error
+    band = sum((strength >= edge).cast("int") for edge in BANDS)
+    group = F.pmod(F.xxhash64("bucket"), F.lit(GROUPS))
+    told = counted.where((F.col("bucket") >= 0) & (F.col("n") >= LEAST_TEXTS)).where(
+        (F.col("toxic") - expected) / F.sqrt(expected * (1 - base)) >= SIGNIFICANT
+    )
+    told = told.select("bucket", (1 + group * (len(BANDS) + 1) + band).cast("int").alias("code")).toArrow()
+    table = np.zeros(1 << TERM_BITS, dtype=np.uint8)
+    table[told["bucket"].to_numpy()] = told["code"].to_numpy()
+    return table
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Chain | None:
-    """The chain of the texts of ``docs`` that ``labels`` (doc_id, label 0 or 1) covers."""
+    """The chain of the texts of ``docs`` that ``labels`` (doc_id, label 0 or 1) covers.
+
+    An id with both labels counts as toxic.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("label").cast("int").alias("label"))
-    known = known.where("_id is not null and label in (0, 1)").dropDuplicates(["_id"])
-    order = [F.xxhash64("_id", F.lit(13)), F.col("_id")]
-    sample = known.where("label = 1").orderBy(*order).limit(sample_rows).unionAll(known.where("label = 0").orderBy(*order).limit(sample_rows))
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    rows = rows.join(F.broadcast(sample), rows["doc_id"] == sample["_id"]).select("label", "text")
+    known = known.where("_id is not null and label in (0, 1)").groupBy("_id").agg(F.max("label").alias("label"))
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
+    rows = rows.join(known, rows["doc_id"] == known["_id"]).select("label", "text", F.md5("text").alias("digest"))
+    texts = rows.groupBy("label", "digest").agg(F.first("text").alias("text"))
+
+    counted = texts.mapInArrow(_tally, "bucket long, n long, toxic long").groupBy("bucket")
+    counted = cut(counted.agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")))
+    totals = counted.where("bucket = -1").collect()
+    if not totals or not 0 < totals[0]["toxic"] < totals[0]["n"]:
+        return None
+    n, toxic = totals[0]["n"], totals[0]["toxic"]
+    table = term_table(counted, n, toxic)
+    sent = docs.sparkSession.sparkContext.broadcast(table)
 
-    def terms_of(batches):
+    def seen(batches):
         for batch in batches:
             for part in text_slices(batch, "text"):
-                h, d, value = _terms(part.column("text"))
-                cuts = np.searchsorted(d, np.arange(part.num_rows + 1))
-                blobs = [np.stack([h[a:b], value[a:b].view(np.uint64)]).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([part.column("label"), pa.array(blobs, pa.binary())], names=["label", "terms"])
-
-    found = rows.mapInArrow(terms_of, "label int, terms binary").collect()  # 2 * sample_rows texts
-    distinct = sorted({(bytes(r[1]), r[0]) for r in found})  # one of each text, in a fixed order
-    if len({y for _, y in distinct}) < 2:
-        return None
-    parts = [np.frombuffer(b, dtype=np.uint64).reshape(2, -1) for b, _ in distinct]
-    toxic = np.array([y for _, y in distinct])
-    h = np.concatenate([p[0] for p in parts])
-    value = np.concatenate([p[1] for p in parts]).view(np.float64)
-    d = np.repeat(np.arange(len(parts)), [p.shape[1] for p in parts])
-    terms = associated_terms(h, d, toxic)
-    kinds = mine_categories(terms, h, d, toxic)
-    names = [f"kind_{i + 1}" for i in range(kinds.shape[1])] + ["toxic"]
-    empty = Chain(np.sort(terms), names, [])
-    x = empty.rows(len(parts), h, d, value)
-    folds = np.arange(len(parts)) % FOLDS
-    return Chain.fit(empty.terms, names, x, np.hstack([kinds, toxic[:, None]]), folds)
-
-
-def _score(batches, chain: Chain | None, kinds: int):
+                x = features(part.column("text"), sent.value)
+                yield pa.RecordBatch.from_arrays([part.column("label"), part.column("digest"), pa.array(list(x))], names=["label", "digest", "x"])
+
+    # A digest below the threshold is one of about sample_rows; a tenth and 200 more make a shortfall all but impossible.
+    wanted = [1.1 * sample_rows + 200] * 2
+    place = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
+    share = F.when(F.col("label") == 1, F.lit(wanted[1] / toxic)).otherwise(F.lit(wanted[0] / (n - toxic)))
+    found = texts.where(place < share).mapInArrow(seen, "label int, digest string, x array<double>").collect()
+    found = sorted((r["digest"], r["label"], r["x"]) for r in found)
+    found = [r for label in (0, 1) for r in [f for f in found if f[1] == label][:sample_rows]]
+    found.sort()  # a fixed order, in which folds are dealt
+    x, is_toxic = np.array([r[2] for r in found]), np.array([r[1] for r in found])
+    folds = np.arange(len(x)) % FOLDS
+    return Chain.fit(table, x, np.hstack([mine_categories(x, is_toxic), is_toxic[:, None]]), folds)
+
+
+def _score(batches, chain, kinds: int):
     for batch in batches:
         for part in text_slices(batch, "text"):
             if chain:
-                h, d, value = _terms(part.column("text"), chain.terms)
-                p = np.vstack([
-                    chain.score(chain.rows(min(512, part.num_rows - a), h[i:j], d[i:j] - a, value[i:j]))
-                    for a in range(0, part.num_rows, 512)
-                    for i, j in [np.searchsorted(d, [a, a + 512])]
-                ])
+                p = chain.value.score(features(part.column("text"), chain.value.table))
             else:
                 p = np.zeros((part.num_rows, kinds + 1))
             yield pa.RecordBatch.from_arrays(
@@ -213,7 +244,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out:
 
     ``labels`` (doc_id, label): rows of the held-out fold, without an id or with a label other than
     0 and 1 are not learned from. Null and empty texts have no terms and are scored as such. If
-    the labels lack either class, every score is 0. A null id is not held out.
+    the labels lack either class, every score is 0. A null id is not held out. An empty table gives no
+    rows; further columns are not read.
     """
     chain = fit_toxicity(docs, labels.where(fold("doc_id", parts) != held_out), sample_rows)
     rows = docs.select(
@@ -222,5 +254,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out:
         docs["text"].cast("string").alias("text"),
     )
     kinds = "".join(f"kind_{i + 1} double, " for i in range(GROUPS))
-    work = partial(_score, chain=chain, kinds=GROUPS)
+    sent = chain and docs.sparkSession.sparkContext.broadcast(chain)  # 2**TERM_BITS bytes and small models
+    work = partial(_score, chain=sent, kinds=GROUPS)
     return rows.mapInArrow(work, f"doc_id long, held_out boolean, {kinds}score double, predicted int")

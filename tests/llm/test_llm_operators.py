@@ -17,6 +17,7 @@ from spheremeans.llm import language_id as li
 from spheremeans.llm import language_model as lm
 from spheremeans.llm import near_dedup as nd
 from spheremeans.llm import token_counts, topk
+from spheremeans.llm import toxicity as tx
 from spheremeans.llm.common import cut, fold
 from spheremeans.llm.language_id import predict_language
 from spheremeans.llm.mixing import mix_documents, sample_copies, source_targets
@@ -541,6 +542,74 @@ def test_labels_of_the_held_out_fold_are_not_used(spark, documents):
         assert np.allclose(one.score, two.score)
 
 
+def test_toxicity_against_plain_counts(spark, documents):
+    rng = random.Random(11)
+    common_words = [f"{a}{b}" for a in "bcdfgh" for b in "aeiou"]
+    bad = [f"nasty{c}" for c in "abcdefghijklmnop"]
+    rows, labels = [], []
+    for i in range(600):
+        toxic = i % 5 == 0
+        words = rng.choices(common_words, k=rng.randrange(0, 40)) + (rng.choices(bad, k=2) if toxic else [])
+        rows.append((i, " ".join(words) or None, "en", "s"))
+        labels.append((i, int(toxic)))
+    rows += [(1000 + i, *rows[3][1:]) for i in range(50)]  # equal texts, one of which counts
+    labels += [(1000 + i, 0) for i in range(50)]
+    docs, known = documents(rows), spark.createDataFrame(labels, "doc_id long, label int")
+    chain = tx.fit_toxicity(docs, known)
+
+    def plain_terms(text):
+        cut_words = (text or "").encode().split()  # only letters and digits here
+        stems = [(w, k) for w in cut_words for k in (0, *tx.STEMS) if k == 0 or len(w) > k]
+        out = Counter()
+        for w, k in stems:
+            h = words_of(pa.array([w[: k or None].decode()])).hashes()[0]
+            out[int((tx.mix(np.array([h + np.uint64(k)]))[0] if k else h) >> np.uint64(64 - tx.TERM_BITS))] += 1
+        return out
+
+    of_text = {t: plain_terms(t) for t in {r[1] or "" for r in rows}}
+    label_of = {(r[1] or "", dict(labels)[r[0]]) for r in rows}
+    n, toxic = Counter(), Counter()
+    for t, y in label_of:
+        n.update(of_text[t].keys())
+        toxic.update(k for k in of_text[t] if y)
+    total, bad_texts = len(label_of), sum(y for _, y in label_of)
+    base, bands = bad_texts / total, len(tx.BANDS) + 1
+    significant = {}
+    for b in n:
+        if n[b] >= tx.LEAST_TEXTS and (toxic[b] - n[b] * base) / math.sqrt(n[b] * base * (1 - base)) >= tx.SIGNIFICANT:
+            rest = n[b] - toxic[b] + 0.5
+            odds = math.log((toxic[b] + 0.5) / rest) - math.log(bad_texts / (total - bad_texts))
+            significant[b] = sum(odds - math.sqrt(1 / (toxic[b] + 0.5) + 1 / rest) >= e for e in tx.BANDS)
+    assert len(significant) >= 16 and set(np.flatnonzero(chain.table)) == set(significant)
+    assert all((chain.table[b] - 1) % bands == k for b, k in significant.items())
+
+    got = score_toxicity(docs, known, parts=1, held_out=1).toPandas().set_index("doc_id")
+    for i, t, *_ in rows[:60]:
+        x = [0.0] * (tx.GROUPS * bands)
+        for b, k in of_text[t or ""].items():
+            if chain.table[b]:
+                x[chain.table[b] - 1] += math.log1p(k)
+        x += [sum(x[g * bands + k] for g in range(tx.GROUPS)) for k in range(bands)]
+        x = [math.log1p(v) for v in (*x, len(of_text[t or ""]))]
+        for model in chain.models:
+            x.append(1 / (1 + math.exp(-(sum(a * w for a, w in zip(x, model.weights, strict=False)) + model.weights[-1]))))
+        assert got.score[i] == pytest.approx(x[-1], abs=1e-6)
+    assert got.predicted[:600].tolist() == [int(i % 5 == 0) for i in range(600)]
+
+
+def test_a_rare_language_has_its_terms_too(spark, documents):
+    """Terms of 20 toxic texts among 4,000 count, though the models are fitted on 100 of each class."""
+    rng = random.Random(12)
+    plain = [f"{a}{b}" for a in "bcdfgh" for b in "aeiou"]
+    rare = [f"x{a}" for a in "aeiou"]
+    texts = [(rng.choices(plain, k=20) + ["nasty"] * (i % 10 == 0), int(i % 10 == 0)) for i in range(3600)]
+    texts += [(rng.choices(rare, k=15) + ["garstig"] * (i % 20 == 0), int(i % 20 == 0)) for i in range(400)]
+    docs = documents([(i, " ".join(w) + f" {i}", "en", "s") for i, (w, _) in enumerate(texts)])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id long, label int")
+    got = score_toxicity(docs, labels, sample_rows=100).toPandas().set_index("doc_id").predicted
+    assert [got[i] for i in range(3600, 4000)] == [y for _, y in texts[3600:]]
+
+
 def test_language_of_odd_rows(documents, odd_rows):
     more = [(100 + i, f"der die das und ist nicht {i} ein satz", "de") for i in range(40)]
     more += [(200 + i, f"the and is not a sentence {i} with words", "en") for i in range(40)]
