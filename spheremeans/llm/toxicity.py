@@ -37,6 +37,7 @@ SIGNIFICANT = 4.5  # standard errors
 BANDS = (0.5, 1.0, 1.5, 2.0, 3.0, 4.0)  # edges, in log odds less a standard error
 STRONG = 2  # bands from here on make a category
 GROUPS = 3
+MOST_SENT = 1_000_000  # labels of 12 bytes that go to every task; with more of them, texts are shuffled to their labels
 FOLDS = 4
 STEMS = (4, 5, 6)  # bytes
 THRESHOLD = 0.5
@@ -188,12 +189,16 @@ def term_table(counted: DataFrame, texts: int, toxic: int) -> np.ndarray:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Chain | None:
     """The chain of the texts of ``docs`` that ``labels`` (doc_id, label 0 or 1) covers.
 
-    An id with both labels counts as toxic.
+    An id with both labels counts as toxic. Which way texts meet their labels goes by the number of labels,
+    and changes nothing in the result.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("label").cast("int").alias("label"))
     known = known.where("_id is not null and label in (0, 1)").groupBy("_id").agg(F.max("label").alias("label"))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
-    rows = rows.join(known, rows["doc_id"] == known["_id"]).select("label", "text", F.md5("text").alias("digest"))
+    known = cut(known)
+    few = known.count() <= MOST_SENT
+    rows = rows.join(F.broadcast(known) if few else known, rows["doc_id"] == known["_id"])
+    rows = rows.select("label", "text", F.md5("text").alias("digest"))
     texts = rows.groupBy("label", "digest").agg(F.first("text").alias("text"))
 
     counted = texts.mapInArrow(_tally, "bucket long, n long, toxic long").groupBy("bucket")
