@@ -16,6 +16,7 @@ through the whole text, many texts side by side.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import partial
 from heapq import heapify, heapreplace
 
@@ -36,11 +37,22 @@ WINDOW, STRETCH = 32, 2  # a training stretch is so many windows of so many toke
 LANES, BATCH = 160, 128
 ROUNDS, EPOCHS, RATE = 2, 1, 0.02  # ROUNDS: the least there are
 TRAINER_ROWS = 4096  # stretches that one copy is trained on in a round
-MOST_PARTITIONS = 16384  # of a round; a task then trains several copies in turn
+TOGETHER = 8  # copies at most that one task trains in turn and averages
+MOST_PARTITIONS = 16384  # of a round
 AVERAGED = 32  # copies that one task averages, and that come to the driver
+SLICE = 1 << 18  # bytes of text whose words are hashed at a time: their arrays stay in the processor's cache
 END = np.uint64(0x5EED0E4D)  # stands for the end of a text among word hashes
 
 
+def hold_memory() -> None:
+    """Lets this process keep what it frees, up to some 50 MB, for its next arrays.
+
+    Otherwise glibc returns it at once, and clearing each page anew takes as long as the work on it.
+    Freeing a large array raises the size from which it does so.
+    """
+    np.empty(24 << 20, np.uint8)
+
+
 def word_codes(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Hash and shape class of each word."""
     end, size = words.end, words.end - words.start
@@ -51,21 +63,41 @@ def word_codes(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return words.hashes(), (mix(key) % np.uint64(SHAPES)).astype(np.int64)
 
 
-def _choose(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, chosen: np.ndarray, with_gradients: bool):
-    """Log softmax of each row's choice, and the gradients of states, weights and bias."""
+def _choose(states: np.ndarray, weights: np.ndarray, chosen: np.ndarray, with_gradients: bool):
+    """Log softmax of each row's choice, and the gradients of states and weights.
+
+    The last column of ``states`` is ones, that of ``weights`` the biases.
+    """
     rows = np.arange(len(chosen))
     logits = states @ weights.T
-    logits += bias
-    logits -= logits.max(axis=1, keepdims=True)
     log_p = logits[rows, chosen]
-    e = np.exp(logits, out=logits)
-    total = e @ np.ones(e.shape[1], e.dtype)
+    with np.errstate(over="ignore"):
+        e = np.exp(logits, out=logits)
+    ones = np.ones(e.shape[1], e.dtype)
+    total = e @ ones
+    if not 1e-30 < total.min() <= total.max() < 1e30:  # only then the largest must be taken off first
+        logits = states @ weights.T
+        logits -= logits.max(axis=1, keepdims=True)
+        log_p = logits[rows, chosen]
+        e = np.exp(logits, out=logits)
+        total = e @ ones
     log_p -= np.log(total)
     if not with_gradients:
         return log_p, None
     e /= total[:, None]
     e[rows, chosen] -= 1
-    return log_p, (e @ weights, e.T @ states, np.ones(len(e), e.dtype) @ e)
+    return log_p, (e @ weights[:, :-1], e.T @ states)
+
+
+@dataclass
+class Gates:
+    """What tokens add to the gates z and r, side by side, and to the candidate."""
+
+    zr: np.ndarray
+    n: np.ndarray
+
+    def __getitem__(self, tokens: np.ndarray) -> Gates:
+        return Gates(self.zr.take(tokens, axis=0), self.n.take(tokens, axis=0))
 
 
 class GatedModel:
@@ -104,21 +136,34 @@ class GatedModel:
             at += size
         return GatedModel(out)
 
-    def table(self) -> np.ndarray:
-        return self.p["emb"] @ self.p["wx"] + self.p["b"]
+    def table(self) -> Gates:
+        emb, wx, b = (self.p[name] for name in ("emb", "wx", "b"))
+        zr, n = emb @ wx[:, : 2 * HIDDEN], emb @ wx[:, 2 * HIDDEN :]
+        zr += b[: 2 * HIDDEN]
+        n += b[2 * HIDDEN :]
+        return Gates(zr, n)
+
+    def step(self, gates: Gates, h: np.ndarray, out: tuple | None = None):
+        """The next state, and the gates z and r side by side, the candidate, and its part from h.
 
-    def step(self, gates: np.ndarray, h: np.ndarray):
-        """The next state, and the gates z and r side by side, the candidate, and its part from h."""
-        from_h = h @ self.p["wh"]
-        zr = gates[:, : 2 * HIDDEN] + from_h[:, : 2 * HIDDEN]
+        They are written to ``out``, in this order, if it is given.
+        """
+        after, zr, n, from_n = out or (None, None, None, None)
+        wh = self.p["wh"]
+        zr = np.matmul(h, wh[:, : 2 * HIDDEN], out=zr)
+        from_n = np.matmul(h, wh[:, 2 * HIDDEN :], out=from_n)
+        zr += gates.zr
         np.exp(np.negative(zr, out=zr), out=zr)
         zr += 1
         np.divide(1, zr, out=zr)
-        from_n = from_h[:, 2 * HIDDEN :]
-        n = zr[:, HIDDEN:] * from_n
-        n += gates[:, 2 * HIDDEN :]
-        np.tanh(n, out=n)
-        after = h - n
+        n = np.multiply(zr[:, HIDDEN:], from_n, out=n)
+        n += gates.n
+        n *= -2  # tanh, by exp, which takes less time
+        np.exp(n, out=n)
+        n += 1
+        np.divide(2, n, out=n)
+        n -= 1
+        after = np.subtract(h, n, out=after)
         after *= zr[:, :HIDDEN]
         after += n
         return after, (zr, n, from_n)
@@ -132,27 +177,30 @@ class GatedModel:
 
         With ``gradients`` it also adds the loss gradients and returns that of the states.
         """
-        p, cls = self.p, self.class_of(y)
+        p, cls = self.p, self.class_of(y).astype(np.int8)
         order = np.argsort(cls, kind="stable")
-        # In the order of classes, so that each class is a slice.
-        states, y, cls = states[order], y[order], cls[order]
-        log_p, back = _choose(states, p["cw"].T, p["cb"], cls, gradients is not None)
+        # In the order of classes, so that each class is a slice; ones stand beside the states for the biases.
+        own_states = np.ones((len(y), HIDDEN + 1), states.dtype)
+        own_states[:, :HIDDEN] = states.take(order, axis=0)
+        y, cls = y[order], cls[order]
+        class_weights, weights = np.column_stack([p["cw"].T, p["cb"]]), np.column_stack([p["ow"], p["ob"]])
+        log_p, back = _choose(own_states, class_weights, cls, gradients is not None)
         if gradients is not None:
-            back, d_weights, d_bias = back
-            gradients["cw"] += d_weights.T
-            gradients["cb"] += d_bias
+            back, d_weights = back
+            gradients["cw"] += d_weights[:, :-1].T
+            gradients["cb"] += d_weights[:, -1]
         upto = np.searchsorted(cls, np.arange(HEAD_CLASSES + 2))
         for c in range(HEAD_CLASSES + 1):
             own = slice(upto[c], upto[c + 1])
             if own.start == own.stop:
                 continue
             span = slice(c * CLASS_SIZE, (c + 1) * CLASS_SIZE if c < HEAD_CLASSES else HEAD + SHAPES)
-            within, d = _choose(states[own], p["ow"][span], p["ob"][span], y[own] - span.start, gradients is not None)
+            within, d = _choose(own_states[own], weights[span], y[own] - span.start, gradients is not None)
             log_p[own] += within
             if gradients is not None:
                 back[own] += d[0]
-                gradients["ow"][span] += d[1]
-                gradients["ob"][span] += d[2]
+                gradients["ow"][span] += d[1][:, :-1]
+                gradients["ob"][span] += d[1][:, -1]
         out = np.empty_like(log_p)
         out[order] = log_p
         if gradients is not None:
@@ -171,35 +219,43 @@ class GatedModel:
         zr = np.empty((*x.shape, 2 * HIDDEN), h.dtype)
         n, from_n = np.empty((*x.shape, HIDDEN), h.dtype), np.empty((*x.shape, HIDDEN), h.dtype)
         for t in range(len(x)):
-            states[t + 1], (zr[t], n[t], from_n[t]) = self.step(table[x[t]], states[t])
-        real = y >= 0
+            self.step(table[x[t]], states[t], (states[t + 1], zr[t], n[t], from_n[t]))
+        real = np.flatnonzero(y >= 0)
         d_states = np.zeros_like(states[1:])
-        d_states[real] = self.log_probabilities(states[1:][real], y[real], g)[1]
+        d_states.reshape(-1, HIDDEN)[real] = self.log_probabilities(states[1:].reshape(-1, HIDDEN).take(real, axis=0), y.ravel()[real], g)[1]
 
         # What each gate makes of a state's gradient, for all times at once; only the carry goes step by step.
         z, r = zr[..., :HIDDEN], zr[..., HIDDEN:]
-        by_n = (1 - z) * (1 - n * n)
-        by_gates = np.concatenate([(states[:-1] - n) * z * (1 - z), by_n * from_n * r * (1 - r), by_n * r], axis=-1)
-        through = np.empty_like(by_gates)
+        through = np.empty((*x.shape, 3 * HIDDEN), h.dtype)
+        by_n = 1 - z
+        by_z = np.subtract(states[:-1], n)
+        by_z *= z
+        np.multiply(by_z, by_n, out=through[..., :HIDDEN])
+        n *= n
+        by_n *= np.subtract(1, n, out=n)
+        by_r = np.multiply(by_n, r, out=through[..., 2 * HIDDEN :])
+        from_n *= by_r
+        from_n *= 1 - r
+        through[..., HIDDEN : 2 * HIDDEN] = from_n
         back_h = np.ascontiguousarray(p["wh"].T)
         carry = np.zeros_like(h)
         for t in reversed(range(len(x))):
-            d_states[t] += carry
             d = d_states[t]
-            np.multiply(by_gates[t].reshape(-1, 3, HIDDEN), d[:, None, :], out=through[t].reshape(-1, 3, HIDDEN))
-            carry = through[t] @ back_h
+            d += carry
+            by_gates = through[t].reshape(-1, 3, HIDDEN)
+            by_gates *= d[:, None, :]
+            np.matmul(through[t], back_h, out=carry)
             carry += d * z[t]
         g["wh"] += states[:-1].reshape(-1, HIDDEN).T @ through.reshape(-1, 3 * HIDDEN)
         d_gates = through
-        d_gates[..., 2 * HIDDEN :] = d_states * by_n
+        np.multiply(d_states, by_n, out=d_gates[..., 2 * HIDDEN :])
         flat = d_gates.reshape(-1, 3 * HIDDEN)
         tokens = x.ravel()
-        order = np.argsort(tokens, kind="stable")
-        names, first = np.unique(tokens[order], return_index=True)
         g["b"] += np.ones(len(flat), flat.dtype) @ flat
-        g["wx"] += p["emb"][tokens].T @ flat
-        g["emb"][names] += np.add.reduceat((flat @ p["wx"].T)[order], first)
-        return g, states[-1], int(real.sum())
+        g["wx"] += p["emb"].take(tokens, axis=0).T @ flat
+        cells = (tokens[:, None] * EMBED + np.arange(EMBED)).ravel()
+        g["emb"] += np.bincount(cells, weights=(flat @ p["wx"].T).ravel(), minlength=g["emb"].size).reshape(-1, EMBED)
+        return g, states[-1], len(real)
 
     def train(self, stretches: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, seed: int = 5) -> GatedModel:
         """stretches: rows of tokens, the first one only given; -1 after a text's end."""
@@ -215,9 +271,10 @@ class GatedModel:
                 for begin in range(0, len(rows) - 1, WINDOW):
                     x = np.maximum(rows[begin : begin + WINDOW], 0)
                     y = rows[begin + 1 : begin + WINDOW + 1]
-                    g, h, n = self.window_gradients(x[: len(y)], y, h)
-                    if not n:
-                        continue
+                    live = y[0] >= 0  # the texts of the other lanes have ended
+                    if not live.any():
+                        break
+                    g, h[live], n = self.window_gradients(x[: len(y), live], y[:, live], h[live])
                     step += 1
                     norm = np.sqrt(sum(float(w.ravel() @ w.ravel()) for w in g.values())) / n
                     scale = min(1.0, 1.0 / max(norm, 1e-9)) / n
@@ -253,60 +310,59 @@ class GatedModel:
             lanes[lane].append(int(i))
             heapreplace(load, (size + int(sizes[i]), lane))
         filled = sorted((lane for lane in lanes if lane), key=lambda lane: -sum(int(sizes[i]) for i in lane))
-        lengths = np.array([sum(int(sizes[i]) for i in lane) for lane in filled])
-        y = [np.concatenate([tokens[begins[i] : begins[i + 1]] for i in lane]) for lane in filled]
-        owner = [np.repeat(np.array(lane, dtype=np.int32), sizes[lane]) for lane in filled]
-        fresh = []
-        for lane, o in zip(filled, owner, strict=True):
-            starts = np.zeros(len(o), dtype=bool)
-            starts[np.cumsum(sizes[lane]) - sizes[lane]] = True
-            fresh.append(starts)
-        table = self.table().astype(np.float32)
+        ends = np.cumsum([sum(int(sizes[i]) for i in lane) for lane in filled])
+        lengths = np.diff(ends, prepend=0)
+        laid = np.array([i for lane in filled for i in lane], dtype=np.int64)
+        starts = np.cumsum(sizes[laid]) - sizes[laid]  # of texts where they are laid
+        owner = np.repeat(laid.astype(np.int32), sizes[laid])
+        source = np.repeat((begins[laid] - starts).astype(np.int32), sizes[laid])
+        source += np.arange(len(source), dtype=np.int32)
+        y = tokens[source]
+        x = np.roll(y, 1)
+        x[starts] = end_token
+        fresh = np.zeros(len(y), dtype=bool)
+        fresh[starts] = True
+        table = self.table()
         h = np.zeros((len(filled), HIDDEN), np.float32)
+        room = [np.empty((len(filled), k * HIDDEN), np.float32) for k in (2, 1, 1)]
         for begin in range(0, int(lengths.max(initial=0)), 64):
             active = int((lengths > begin).sum())
             width = min(64, int(lengths[0]) - begin)
-            yw = np.full((width, active), -1, dtype=np.int64)
-            xw = np.full((width, active), end_token, dtype=np.int64)
-            new = np.zeros((width, active), dtype=bool)
-            ow = np.zeros((width, active), dtype=np.int64)
-            for lane in range(active):
-                part = y[lane][begin : begin + width]
-                k = len(part)
-                yw[:k, lane], ow[:k, lane] = part, owner[lane][begin : begin + width]
-                new[:k, lane] = fresh[lane][begin : begin + width]
-                previous = y[lane][max(0, begin - 1) : begin + k - 1]
-                xw[k - len(previous) : k, lane] = previous
-            xw[new] = end_token
-            h = h[:active]
-            states = np.empty((width, active, HIDDEN), np.float32)
+            at = (ends - lengths)[:active] + begin + np.arange(width)[:, None]
+            real = at < ends[:active]
+            at = np.minimum(at, len(y) - 1)
+            xw, new = x[at], fresh[at]
+            states = np.empty((width + 1, active, HIDDEN), np.float32)
+            states[0] = h[:active]
+            renewed = new.any(axis=1)
             for t in range(width):
-                if new[t].any():
-                    h = np.where(new[t][:, None], np.float32(0), h)
-                h, _ = self.step(table[xw[t]], h)
-                states[t] = h
-            real = yw >= 0
-            logs, _ = self.log_probabilities(states[real], yw[real])
-            out += np.bincount(ow[real], weights=logs, minlength=n)
+                before = np.where(new[t][:, None], np.float32(0), states[t]) if renewed[t] else states[t]
+                self.step(table[xw[t]], before, (states[t + 1], *(a[:active] for a in room)))
+            h = states[-1]
+            at = at[real]
+            logs, _ = self.log_probabilities(states[1:][real], y[at].astype(np.int64))
+            out += np.bincount(owner[at], weights=logs, minlength=n)
         return out
 
 
-def _sequences(texts: pa.Array, head: np.ndarray, head_token: np.ndarray):
-    """Tokens of all texts with their ends, where each text begins, and their word hashes and classes."""
-    words = words_of(texts)
-    h, shape = word_codes(words)
+def _places(known: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each wanted hash stands among the known ones, in order; their number where it does not."""
+    at = np.searchsorted(known, wanted)
+    at[known.take(at, mode="clip") != wanted] = len(known)
+    return at
+
+
+def _sequences(words: Words, token: np.ndarray, end_token: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all texts with their ends, and where each text begins."""
     n = len(words.first) - 1
-    at = np.searchsorted(head, h)
-    at[at == len(head)] = 0
-    token = np.where(head[at] == h, head_token[at], HEAD + shape)
     begins = words.first + np.arange(n + 1)
-    out = np.empty(len(h) + n, dtype=np.int64)
+    out = np.empty(len(token) + n, dtype=np.int16)
     ends = begins[1:] - 1
-    out[ends] = head_token[np.searchsorted(head, END)]
+    out[ends] = end_token
     keep = np.ones(len(out), dtype=bool)
     keep[ends] = False
     out[keep] = token
-    return out, begins, h, shape, words.doc
+    return out, begins
 
 
 def _merged(pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -318,6 +374,7 @@ def _merged(pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np
 
 def _count(batches, most: int = 1 << 20):
     """Words of the partition with shapes and counts, merged while they are fewer than ``most``."""
+    hold_memory()
     pieces, held = [], 0
 
     def rows(pieces):
@@ -327,7 +384,7 @@ def _count(batches, most: int = 1 << 20):
         )
 
     for batch in batches:
-        for part in text_slices(batch, "text"):
+        for part in text_slices(batch, "text", SLICE):
             h, shape = word_codes(words_of(part.column("text")))
             own = _merged([(h, shape, np.ones(len(h), dtype=np.int64))])
             ends = np.array([END]), np.array([-1]), np.array([part.num_rows])
@@ -345,11 +402,15 @@ def _count(batches, most: int = 1 << 20):
 
 def _stretches(batches, head, head_token):
     """Every text cut into consecutive stretches: a row repeats the last token of the one before, or the end."""
+    hold_memory()
     size, most = WINDOW * STRETCH, 4096
     end_token = int(head_token.value[np.searchsorted(head.value, END)])
     for batch in batches:
         for part in text_slices(batch, "text"):
-            tokens, begins, *_ = _sequences(part.column("text"), head.value, head_token.value)
+            words = words_of(part.column("text"))
+            h, shape = word_codes(words)
+            at = _places(head.value, h)
+            tokens, begins = _sequences(words, np.where(at < len(head.value), head_token.value.take(at, mode="clip"), HEAD + shape), end_token)
             copies: dict[tuple, int] = {}  # tells equal rows apart, so that many do not all go to one place
             ids = part.column("doc_id")
             copy = []
@@ -365,8 +426,10 @@ def _stretches(batches, head, head_token):
                 where = (begins[own] + at * size - 1)[:, None] + np.arange(size + 1)
                 rows = np.where(where < begins[own + 1][:, None], tokens[np.minimum(where, len(tokens) - 1)], -1).astype("<i2")
                 rows[at == 0, 0] = end_token  # the end of a text stands before the next
+                cuts = np.arange(len(rows) + 1, dtype=np.int32) * rows.itemsize * (size + 1)
+                packed = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(cuts), pa.py_buffer(rows)])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(own)), pa.array(at), pa.array(copy[own]), pa.array([r.tobytes() for r in rows], pa.binary())],
+                    [ids.take(pa.array(own)), pa.array(at), pa.array(copy[own]), packed],
                     names=["doc_id", "nth", "copy", "tokens"],
                 )
 
@@ -383,18 +446,27 @@ def training_plan(rows: int) -> tuple[int, int, int]:
     return rounds, shares, max(1, round(units / shares))
 
 
+def together(trainers: int) -> int:
+    """Trainers that one task trains in turn, so that their average is all it sends.
+
+    Where the driver takes every model, a task has one; otherwise a few, up to TOGETHER, if that leaves AVERAGED tasks.
+    """
+    return min(TOGETHER, -(-trainers // AVERAGED))
+
+
 def _train(table: pa.Table, model) -> pa.Table:
-    rows = sorted(table["tokens"].to_pylist())
-    stretches = np.frombuffer(b"".join(rows), dtype="<i2").reshape(len(rows), -1).astype(np.int64)
-    base = model.value
-    trained = GatedModel({k: v.copy() for k, v in base.p.items()}).train(stretches)
-    return pa.table(
-        {
-            "trainer": table["trainer"].slice(0, 1),
-            "weight": pa.array([float(len(rows))]),
-            "arrays": pa.array([trained.to_bytes()], pa.binary()),
-        }
-    )
+    """The average of the copies trained on the rows of each trainer."""
+    hold_memory()
+    tokens = table["tokens"].to_numpy()
+    by_trainer = np.split(np.argsort(own := table["trainer"].to_numpy(), kind="stable"), np.cumsum(np.unique(own, return_counts=True)[1])[:-1])
+    found = []
+    for rows in by_trainer:
+        rows = sorted(tokens[rows])
+        stretches = np.frombuffer(b"".join(rows), dtype="<i2").reshape(len(rows), -1).astype(np.int64)
+        copy = GatedModel({k: v.copy() for k, v in model.value.p.items()})
+        found.append((float(len(rows)), copy.train(stretches).to_bytes()))
+    weight, arrays = _mean(found)
+    return pa.table({"trainer": table["task"].slice(0, 1), "weight": [weight], "arrays": pa.array([arrays], pa.binary())})
 
 
 def _trainer(model):
@@ -417,6 +489,7 @@ def train_in_rounds(model: GatedModel, stretches: DataFrame) -> GatedModel:
     """``model`` trained on all rows of ``stretches`` (doc_id, nth, copy, tokens)."""
     send = stretches.sparkSession.sparkContext.broadcast
     rounds, shares, trainers = training_plan(stretches.count())
+    tasks = -(-trainers // together(trainers))
     schema = "trainer int, weight double, arrays binary"
     place = F.xxhash64("doc_id", "nth", "copy", "tokens")
     dealt = stretches.select(
@@ -425,11 +498,11 @@ def train_in_rounds(model: GatedModel, stretches: DataFrame) -> GatedModel:
         "tokens",
     )
     for r in range(rounds):
-        own = dealt.where(F.col("share") == r % shares).select("trainer", "tokens")
-        # More partitions than trainers, so that few hold two.
-        own = own.repartition(min(2 * trainers, MOST_PARTITIONS), "trainer")
-        means = own.groupBy("trainer").applyInArrow(_trainer(send(model)), schema)
-        width = trainers
+        own = dealt.where(F.col("share") == r % shares).select(F.pmod("trainer", F.lit(tasks)).alias("task"), "trainer", "tokens")
+        # More partitions than tasks, so that few hold two.
+        own = own.repartition(min(2 * tasks, MOST_PARTITIONS), "task")
+        means = own.groupBy("task").applyInArrow(_trainer(send(model)), schema)
+        width = tasks
         while width > AVERAGED:
             width = -(-width // AVERAGED)
             means = means.withColumn("trainer", F.pmod("trainer", F.lit(width))).groupBy("trainer").applyInArrow(_average, schema)
@@ -441,30 +514,41 @@ def train_in_rounds(model: GatedModel, stretches: DataFrame) -> GatedModel:
 
 def _score(batches, model, head, head_token, table_words, table_counts, shape_unseen, shape_mass, tokens_n, types_n):
     """One row for each text: what needs no further look-up, and the words that do."""
+    hold_memory()
     net, known_words, known_counts = model.value, table_words.value, table_counts.value
     end_token = int(head_token.value[np.searchsorted(head.value, END)])
     bottom = np.log10(tokens_n + 0.5 * (types_n + 1))
-    end_count = known_counts[np.searchsorted(known_words, END)]
+    # Of each known word, and last of one that is not: its token in the head (else -1) and its terms.
+    place = _places(head.value, known_words)
+    token_of = np.append(np.where(place < len(head.value), head_token.value.take(place, mode="clip"), -1), -1)
+    base_of = np.append(np.log10(known_counts + 0.5), np.log10(0.5)) - bottom
+    log_counts = np.log10(np.maximum(np.append(known_counts, 1), 1))
+    log_unseen, log_seen = np.log10(shape_unseen), np.log10((1 - shape_unseen) / np.maximum(shape_mass, 1))
+    of_end = int(_places(known_words, np.array([END]))[0])
+    end_known = int(known_counts[of_end] > 0)
     for batch in batches:
-        for part in text_slices(batch, "text", 12 << 20):
+        for part in text_slices(batch, "text", 24 << 20):
             # Hashing holds many bytes for each of the text's, the network few for each token.
             tokens, sizes, own, base, known, asked, times, asks = ([] for _ in range(8))
-            for small in text_slices(part, "text"):
+            for small in text_slices(part, "text", SLICE):
                 n = small.num_rows
-                seq, begins, h, shape, doc = _sequences(small.column("text"), head.value, head_token.value)
-                at = np.searchsorted(known_words, h)
-                at[at == len(known_words)] = 0
-                c = np.where(known_words[at] == h, known_counts[at], 0)
-                tail = seq[np.delete(np.arange(len(seq)), begins[1:] - 1)] >= HEAD
+                words = words_of(small.column("text"))
+                (h, shape), doc = word_codes(words), words.doc
+                at = _places(known_words, h)
+                counted = at < len(known_words)
+                token = token_of[at]
+                tail = np.flatnonzero(token < 0)
                 # Every tail word without a count as if unseen; later look-ups correct it.
-                unseen = np.log10(shape_unseen)[shape]
-                seen = np.log10((1 - shape_unseen[shape]) * np.maximum(c, 1) / np.maximum(shape_mass[shape], 1))
-                own.append(np.bincount(doc[tail], weights=np.where(c > 0, seen, unseen)[tail], minlength=n))
-                base.append(np.bincount(doc, weights=np.log10(c + 0.5) - bottom, minlength=n) + np.log10(end_count + 0.5) - bottom)
-                known.append(np.bincount(doc, weights=c > 0, minlength=n).astype(np.int64) + int(end_count > 0))
-                tokens.append(seq.astype(np.int16))
+                of_shape = shape[tail]
+                terms = np.where(counted[tail], log_seen[of_shape] + log_counts[at[tail]], log_unseen[of_shape])
+                token[tail] = HEAD + of_shape
+                seq, begins = _sequences(words, token, end_token)
+                own.append(np.bincount(doc[tail], weights=terms, minlength=n))
+                base.append(np.bincount(doc, weights=base_of[at], minlength=n) + base_of[of_end])
+                known.append(np.bincount(doc, weights=counted, minlength=n).astype(np.int64) + end_known)
+                tokens.append(seq)
                 sizes.append(np.diff(begins))
-                rare = np.flatnonzero(c == 0)
+                rare = np.flatnonzero(~counted)
                 rare = rare[np.lexsort((h[rare], doc[rare]))]
                 fresh = np.ones(len(rare), dtype=bool)  # a word is asked for once a text
                 fresh[1:] = (h[rare][1:] != h[rare][:-1]) | (doc[rare][1:] != doc[rare][:-1])

@@ -778,6 +778,48 @@ def test_training_does_not_depend_on_files(documents, monkeypatch):
     np.testing.assert_allclose(few.score, many.score, rtol=1e-5)
 
 
+def test_a_task_sends_one_model_for_the_copies_it_trains():
+    rng = np.random.default_rng(6)
+    stretches = rng.integers(0, lm.HEAD + lm.SHAPES, (300, lm.WINDOW * lm.STRETCH + 1)).astype("<i2")
+    stretches[::3, 20:] = -1
+    model = lm.GatedModel.start(rng.normal(size=lm.HEAD_CLASSES + 1), rng.normal(size=lm.HEAD + lm.SHAPES))
+    rows = lambda which: pa.table({"task": pa.array([0] * len(which), pa.int32()), "trainer": pa.array([int(i) % 3 for i in which], pa.int32()), "tokens": pa.array([stretches[i].tobytes() for i in which], pa.binary())})
+    whole = lm._train(rows(rng.permutation(300)), Sent(model))
+    alone = [lm._train(rows(np.arange(k, 300, 3)), Sent(model)) for k in range(3)]
+    assert whole["weight"].to_pylist() == [300.0] and len(whole) == 1
+    got = np.frombuffer(whole["arrays"][0].as_py(), "<f4")
+    want = np.mean([np.frombuffer(a["arrays"][0].as_py(), "<f4") for a in alone], axis=0)
+    np.testing.assert_allclose(got, want, atol=1e-6)
+    for trainers in (1, 32, 43, 1580, 10**6):
+        tasks = -(-trainers // lm.together(trainers))
+        assert tasks <= max(lm.AVERAGED, trainers / 8 + 1) and tasks >= min(trainers, lm.AVERAGED // 2)
+
+
+@pytest.mark.parametrize("by", [1, 300])
+def test_choices_with_logits_of_any_size(by):
+    rng = np.random.default_rng(7)
+    states = np.column_stack([rng.normal(size=(50, 4)), np.ones(50)]).astype(np.float32)
+    weights = (rng.normal(size=(9, 5)) * by).astype(np.float32)
+    chosen = rng.integers(0, 9, 50)
+    logits = states.astype(float) @ weights.T.astype(float)
+    want = (logits - np.logaddexp.reduce(logits, axis=1)[:, None])[np.arange(50), chosen]
+    got, (_, d_weights) = lm._choose(states, weights, chosen, True)
+    np.testing.assert_allclose(got, want, rtol=1e-4, atol=1e-3)
+    assert np.isfinite(d_weights).all()
+
+
+def test_training_keeps_its_memory():
+    resource = pytest.importorskip("resource")
+    rng = np.random.default_rng(8)
+    model = lm.GatedModel.start(rng.normal(size=lm.HEAD_CLASSES + 1), rng.normal(size=lm.HEAD + lm.SHAPES))
+    stretches = rng.integers(0, lm.HEAD + lm.SHAPES, (4 * lm.BATCH, lm.WINDOW * lm.STRETCH + 1))
+    lm.hold_memory()
+    model.train(stretches)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+    model.train(stretches)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before < 4000  # 15,000 if each window takes its pages anew
+
+
 def test_language_model_of_odd_rows(documents, odd_rows):
     got = lm.score_texts(documents(odd_rows)).toPandas()
     assert len(got) == len(odd_rows) and np.isfinite(got.score).all() and np.isfinite(got.base_score).all()
